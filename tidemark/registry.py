@@ -236,3 +236,84 @@ register("check_unique_key", """
 SELECT o_custkey, o_orderdate, count(*) AS row_count FROM orders
 GROUP BY o_custkey, o_orderdate HAVING count(*) > 1""")(
     lambda s, sf: ops.check_unique_key(load_table(s, sf, "orders"), ["o_custkey", "o_orderdate"]))
+
+# ---------------------------------------------------------------- step 4: JSON in / out
+from .functions.time import clock_label  # noqa: E402
+from .sources import messages as msg  # noqa: E402
+
+_PART_SQL = "CAST((('0x' || substr(md5({k}), 1, 8))::BIGINT) % 3 AS INTEGER)"
+_VALUE_SQL = "json_object('symbol', symbol, 'ts', ts, 'price', price, 'qty', qty, 'side', side)::VARCHAR"
+
+
+def _messages(spark, sf):
+    return msg.to_messages(_trades(spark, sf), "symbol", 3, "seq")
+
+
+def _mixed_messages(spark, sf):
+    """A feed with two producer faults, derived from every trade:
+    'error' trades carry ts as text (wrong type), 'signup' trades are cut
+    one character short (malformed JSON).  All others are well formed."""
+    t = _trades(spark, sf)
+    good = F.to_json(F.struct(*[F.col(c) for c in ("symbol", "ts", "price", "qty", "side")]))
+    wrong_ts = F.to_json(F.struct("symbol", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("ts"),
+                                  "price", "qty", "side"))
+    value = (F.when(F.col("symbol") == "error", wrong_ts)
+             .when(F.col("symbol") == "signup", F.expr("substring(to_json(struct(symbol, ts, price, qty, side)), 1, "
+                                                     "length(to_json(struct(symbol, ts, price, qty, side))) - 1)"))
+             .otherwise(good))
+    return t.select(msg.partition_for(F.col("symbol"), 3).alias("partition"),
+                    F.col("seq").alias("offset"), F.col("symbol").alias("key"), value.alias("value"))
+
+
+def _trade_out(df: DataFrame) -> DataFrame:
+    return df.select("symbol", "ts", "price", "qty", "side", "seq", to_ntz("event_time").alias("event_time"))
+
+
+register("write_messages", W(f"""
+SELECT {_PART_SQL.format(k='symbol')} AS partition, seq AS offset, symbol AS key, {_VALUE_SQL} AS value
+FROM trades"""))(lambda s, sf: _messages(s, sf))
+
+register("message_envelope", W(f"""
+SELECT {_PART_SQL.format(k='symbol')} AS partition, seq AS offset, symbol AS key, {_VALUE_SQL} AS value
+FROM trades"""))(lambda s, sf: msg.message_envelope(_messages(s, sf)))
+
+register("parse_trades", W("SELECT symbol, ts, price, qty, side, seq, event_time FROM trades"))(
+    lambda s, sf: _trade_out(msg.good_trades(msg.parse_trades(_messages(s, sf)))))
+
+register("parse_trades_strict", W("SELECT symbol, ts, price, qty, side, seq, event_time FROM trades"))(
+    lambda s, sf: _trade_out(msg.good_trades(
+        msg.parse_trades(_messages(s, sf), mode="strict").withColumn("quarantined", F.lit(False)))))
+
+register("parse_trades_lenient", W("""
+SELECT symbol, ts, price, qty, side, seq, event_time FROM trades
+WHERE symbol NOT IN ('error', 'signup')"""))(
+    lambda s, sf: _trade_out(msg.good_trades(msg.parse_trades(_mixed_messages(s, sf)))))
+
+register("quarantine", W(f"""
+SELECT {_PART_SQL.format(k='symbol')} AS partition, seq AS offset, symbol AS key FROM trades
+WHERE symbol IN ('error', 'signup')"""))(
+    lambda s, sf: msg.quarantine(msg.parse_trades(_mixed_messages(s, sf))).drop("value"))
+
+register("round_trade", W("""
+SELECT symbol, ts, round(price, 2) AS price, round(qty, 4) AS qty, side, seq FROM trades"""))(
+    lambda s, sf: msg.round_trade(_trades(s, sf)).select("symbol", "ts", "price", "qty", "side", "seq"))
+
+register("clock_label", W("SELECT seq, ts, strftime(event_time, '%H:%M:%S') AS clock FROM trades"))(
+    lambda s, sf: _trades(s, sf).select("seq", "ts", clock_label("ts").alias("clock")))
+
+# ---------------------------------------------------------------- step 9: message checks
+register("key_partition_counts", W(f"""
+SELECT symbol AS key, {_PART_SQL.format(k='symbol')} AS partition, count(*) AS message_count
+FROM trades GROUP BY 1, 2"""))(
+    lambda s, sf: _messages(s, sf).groupBy("key", "partition").agg(F.count(F.lit(1)).alias("message_count")))
+
+register("key_stays_in_partition", W(f"""
+SELECT symbol AS key, count(DISTINCT {_PART_SQL.format(k='symbol')}) AS n_partitions,
+       count(DISTINCT {_PART_SQL.format(k='symbol')}) = 1 AS stays
+FROM trades GROUP BY 1"""))(
+    lambda s, sf: _messages(s, sf).groupBy("key")
+    .agg(F.countDistinct("partition").alias("n_partitions"))
+    .withColumn("stays", F.col("n_partitions") == 1))
+
+register("topic_non_empty", "SELECT count(*) > 0 AS non_empty FROM (SELECT 1 FROM events LIMIT 1)")(
+    lambda s, sf: _messages(s, sf).limit(1).agg((F.count(F.lit(1)) > 0).alias("non_empty")))
