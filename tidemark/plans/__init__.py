@@ -1,0 +1,8 @@
+from .layout import (Part, bucket, bucket_of, days, derived_predicate, hours, months,
+                     pruned_read, read_layout, truncate, union_layouts, with_layout,
+                     write_layout, years)
+from .versioned import COMMIT_SCHEMA, VersionedTable
+
+__all__ = ["Part", "bucket", "bucket_of", "days", "derived_predicate", "hours", "months",
+           "pruned_read", "read_layout", "truncate", "union_layouts", "with_layout",
+           "write_layout", "years", "COMMIT_SCHEMA", "VersionedTable"]

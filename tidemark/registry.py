@@ -317,3 +317,251 @@ FROM trades GROUP BY 1"""))(
 
 register("topic_non_empty", "SELECT count(*) > 0 AS non_empty FROM (SELECT 1 FROM events LIMIT 1)")(
     lambda s, sf: _messages(s, sf).limit(1).agg((F.count(F.lit(1)) > 0).alias("non_empty")))
+
+# ---------------------------------------------------------------- step 7: versions
+from .plans import layout as lay  # noqa: E402
+from .plans.versioned import VersionedTable  # noqa: E402
+from .session import scratch_path  # noqa: E402
+
+# Versions of the events table: one commit per calendar day of ``ts``
+# (version = day number since 2023-12-31, so 2024-01-05 is version 5),
+# committed at the midnight that ends the day.
+_DAY_SQL = "(date_diff('day', DATE '2023-12-31', CAST(ts AS DATE)))"
+_COMMITTED_SQL = "(date_trunc('day', ts) + INTERVAL 1 DAY)"
+_EVENT_COLS = "event_id, ts, user_id, event_type, value, props"
+
+
+def _event_versions(spark, sf, name, keyed=True) -> VersionedTable:
+    ev = load_table(spark, sf, "events").withColumn("ts_ms", F.unix_millis(F.col("ts").cast("timestamp")))
+    vt = VersionedTable(spark, scratch_path(spark, name),
+                        keys=["user_id", "event_type"] if keyed else None, ts="ts_ms", seq="event_id")
+    vt.bulk_commit(ev, F.datediff(F.to_date("ts"), F.lit("2023-12-31").cast("date")),
+                   F.date_trunc("day", F.col("ts").cast("timestamp")) + F.expr("INTERVAL 1 DAY"))
+    return vt
+
+
+def _latest_sql(where: str) -> str:
+    return f"""
+SELECT {_EVENT_COLS}, epoch_us(ts) // 1000 AS ts_ms FROM events WHERE {where}
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type
+                           ORDER BY epoch_us(ts) // 1000 DESC, event_id DESC) = 1"""
+
+
+register("append_log", f"SELECT {_EVENT_COLS}, epoch_us(ts) // 1000 AS ts_ms FROM events")(
+    lambda s, sf: _event_versions(s, sf, "append_log", keyed=False).snapshot())
+
+register("current_table", _latest_sql("true"))(
+    lambda s, sf: _event_versions(s, sf, "current_table").snapshot())
+
+register("version_as_of", _latest_sql(f"{_DAY_SQL} <= 15"))(
+    lambda s, sf: _event_versions(s, sf, "version_as_of").snapshot(15))
+
+register("timestamp_as_of", _latest_sql(f"{_COMMITTED_SQL} <= TIMESTAMP '2024-01-20 12:00:00'"))(
+    lambda s, sf: _event_versions(s, sf, "timestamp_as_of").as_of_time("2024-01-20 12:00:00"))
+
+
+def _rolled_back(spark, sf, name):
+    vt = _event_versions(spark, sf, name)
+    vt.rollback_to(20, committed_at="2024-02-01 00:00:00")
+    return vt
+
+
+register("rollback_to", _latest_sql(f"{_DAY_SQL} <= 20"))(
+    lambda s, sf: _rolled_back(s, sf, "rollback_to").snapshot())
+
+_SNAP_SQL = f"""
+SELECT {_DAY_SQL} AS version, max({_COMMITTED_SQL}) AS committed_at, 'append' AS operation,
+       lag({_DAY_SQL}) OVER (ORDER BY {_DAY_SQL}) AS parent, count(*) AS added_rows
+FROM events GROUP BY {_DAY_SQL}"""
+
+register("snapshots", _SNAP_SQL)(lambda s, sf: _event_versions(s, sf, "snapshots").snapshots())
+
+register("history", f"""
+WITH c AS ({_SNAP_SQL})
+SELECT committed_at AS made_current_at, version, parent, version <= 20 AS is_current_ancestor FROM c
+UNION ALL
+SELECT TIMESTAMP '2024-02-01 00:00:00', max(version) + 1, max(version), true FROM c""")(
+    lambda s, sf: _rolled_back(s, sf, "history").history())
+
+register("manifests")(lambda s, sf: _event_versions(s, sf, "manifests").manifests())
+register("files")(lambda s, sf: _event_versions(s, sf, "files").files())
+
+register("rows_growing", f"""
+WITH c AS ({_SNAP_SQL})
+SELECT version, added_rows,
+       sum(added_rows) OVER (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total_rows,
+       true AS growing
+FROM c""")(lambda s, sf: _event_versions(s, sf, "rows_growing").rows_growing())
+
+
+def _diff(spark, sf):
+    d = _event_versions(spark, sf, "snapshot_diff").diff(10, 20)
+    return d.select("user_id", "event_type", "change",
+                    F.col("_old.event_id").alias("old_event_id"), F.col("_new.event_id").alias("new_event_id"))
+
+
+register("snapshot_diff", f"""
+WITH o AS ({_latest_sql(f"{_DAY_SQL} <= 10")}),
+     n AS ({_latest_sql(f"{_DAY_SQL} <= 20")})
+SELECT coalesce(n.user_id, o.user_id) AS user_id, coalesce(n.event_type, o.event_type) AS event_type,
+       CASE WHEN o.event_id IS NULL THEN 'added' WHEN n.event_id IS NULL THEN 'removed' ELSE 'changed' END AS change,
+       o.event_id AS old_event_id, n.event_id AS new_event_id
+FROM o FULL OUTER JOIN n ON o.user_id = n.user_id AND o.event_type = n.event_type
+WHERE o.event_id IS DISTINCT FROM n.event_id""")(_diff)
+
+# ---------------------------------------------------------------- step 8: schema evolution
+_HALF = "2024-01-16 00:00:00"
+
+
+def _evolving(spark, sf, name):
+    ev = load_table(spark, sf, "events")
+    vt = VersionedTable(spark, scratch_path(spark, name))
+    first = ev.where(F.col("ts") < F.lit(_HALF).cast("timestamp_ntz"))
+    second = ev.where(F.col("ts") >= F.lit(_HALF).cast("timestamp_ntz"))
+    return vt, first, second
+
+
+def _add_column(spark, sf):
+    vt, a, b = _evolving(spark, sf, "add_column")
+    vt.commit(a.select("event_id", "ts", "user_id", "event_type", "value"), "2024-01-16 00:00:00")
+    vt.add_column("k", "int", "2024-01-16 00:00:01")
+    vt.commit(b.select("event_id", "ts", "user_id", "event_type", "value",
+                       F.get_json_object("props", "$.k").cast("int").alias("k")), "2024-01-31 00:00:00")
+    return vt.snapshot()
+
+
+register("add_column", f"""
+SELECT event_id, ts, user_id, event_type, value,
+       CASE WHEN ts < TIMESTAMP '{_HALF}' THEN NULL ELSE CAST(props ->> '$.k' AS INTEGER) END AS k
+FROM events""")(_add_column)
+
+
+def _drop_column(spark, sf):
+    vt, a, b = _evolving(spark, sf, "drop_column")
+    vt.commit(a, "2024-01-16 00:00:00")
+    vt.drop_column("props", "2024-01-16 00:00:01")
+    vt.commit(b.drop("props"), "2024-01-31 00:00:00")
+    return vt.snapshot()
+
+
+register("drop_column", "SELECT event_id, ts, user_id, event_type, value FROM events")(_drop_column)
+
+
+def _rename_column(spark, sf):
+    vt, a, b = _evolving(spark, sf, "rename_column")
+    vt.commit(a.drop("props"), "2024-01-16 00:00:00")
+    vt.rename_column("value", "amount", "2024-01-16 00:00:01")
+    vt.commit(b.drop("props").withColumnRenamed("value", "amount"), "2024-01-31 00:00:00")
+    return vt.snapshot()
+
+
+register("rename_column", "SELECT event_id, ts, user_id, event_type, value AS amount FROM events")(_rename_column)
+
+
+def _reorder_columns(spark, sf):
+    vt, a, b = _evolving(spark, sf, "reorder_columns")
+    vt.commit(a.drop("props"), "2024-01-16 00:00:00")
+    vt.reorder_columns(["event_type", "user_id", "value", "ts", "event_id"], "2024-01-16 00:00:01")
+    vt.commit(b.drop("props"), "2024-01-31 00:00:00")
+    return vt.snapshot()
+
+
+register("reorder_columns", "SELECT event_type, user_id, value, ts, event_id FROM events")(_reorder_columns)
+
+
+def _widen_type(spark, sf):
+    vt, a, b = _evolving(spark, sf, "widen_type")
+    vt.commit(a.select("event_id", F.col("user_id").cast("int").alias("user_id"), "value"), "2024-01-16 00:00:00")
+    vt.widen_type("user_id", "bigint", "2024-01-16 00:00:01")
+    vt.commit(b.select("event_id", "user_id", "value"), "2024-01-31 00:00:00")
+    return vt.snapshot()
+
+
+register("widen_type", "SELECT event_id, user_id, value FROM events")(_widen_type)
+
+# ---------------------------------------------------------------- step 8: layouts
+_TRANSFORM_SQL = {
+    "years": "CAST(year(ts) - 1970 AS INTEGER)",
+    "months": "CAST((year(ts) - 1970) * 12 + month(ts) - 1 AS INTEGER)",
+    "days": "CAST(ts AS DATE)",
+    "hours": "CAST(floor(epoch(ts) / 3600) AS INTEGER)",
+}
+
+
+def _layout_counts(spark, sf, part: lay.Part):
+    path = scratch_path(spark, f"partition_{part.transform}")
+    lay.write_layout(load_table(spark, sf, "events"), path, [part])
+    df = lay.read_layout(spark, path, [part])
+    return df.groupBy(F.col(part.name).alias("part")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+for _unit, _maker in (("years", lay.years), ("months", lay.months), ("days", lay.days), ("hours", lay.hours)):
+    register(f"partition_{_unit}",
+             f"SELECT {_TRANSFORM_SQL[_unit]} AS part, count(*) AS row_count FROM events GROUP BY 1")(
+        (lambda mk: lambda s, sf: _layout_counts(s, sf, mk("ts")))(_maker))
+
+register("partition_bucket", """
+SELECT CAST((('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT) % 16 AS INTEGER) AS part,
+       count(*) AS row_count FROM events GROUP BY 1""")(
+    lambda s, sf: _layout_counts(s, sf, lay.bucket(16, "user_id")))
+
+register("partition_truncate", """
+SELECT substr(event_type, 1, 2) AS part, count(*) AS row_count FROM events GROUP BY 1""")(
+    lambda s, sf: _layout_counts(s, sf, lay.truncate(2, "event_type")))
+
+register("partition_truncate_int", """
+SELECT user_id - (user_id % 100) AS part, count(*) AS row_count FROM events GROUP BY 1""")(
+    lambda s, sf: _layout_counts(s, sf, lay.truncate(100, "user_id")).withColumn("part", F.col("part").cast("long")))
+
+_YMD = [lay.Part("identity", "year", "year"), lay.Part("identity", "month", "month"),
+        lay.Part("identity", "day", "day")]
+
+
+def _partition_slice(spark, sf):
+    path = scratch_path(spark, "partition_slice")
+    ev = load_table(spark, sf, "events")
+    ev = (ev.withColumn("year", F.date_format("ts", "yyyy")).withColumn("month", F.date_format("ts", "MM"))
+          .withColumn("day", F.date_format("ts", "dd")))
+    ev.write.partitionBy("year", "month", "day").parquet(path)
+    # Declared schema: the partition values stay text ('01'), not inferred ints.
+    df = spark.read.schema(ev.schema).parquet(path)
+    return (df.where((F.col("year") == "2024") & (F.col("month") == "01") & (F.col("day") == "15"))
+            .select("event_id", "ts", "user_id", "event_type", "value"))
+
+
+register("partition_slice", """
+SELECT event_id, ts, user_id, event_type, value FROM events
+WHERE strftime(ts, '%Y') = '2024' AND strftime(ts, '%m') = '01' AND strftime(ts, '%d') = '15'""")(
+    _partition_slice)
+
+
+def _pruned_read(spark, sf):
+    path = scratch_path(spark, "pruned_read")
+    layout = [lay.days("ts")]
+    lay.write_layout(load_table(spark, sf, "events"), path, layout)
+    return lay.pruned_read(spark, path, layout, "ts", "2024-01-10 00:00:00", "2024-01-12 00:00:00").drop("ts_day")
+
+
+register("pruned_read", f"""
+SELECT {_EVENT_COLS} FROM events
+WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-12 00:00:00'""")(_pruned_read)
+
+
+def _repartition_layout(spark, sf):
+    """Days layout for the first half of the month, months layout after it;
+    both are read as one table, each pruned by its own derived column."""
+    base = scratch_path(spark, "repartition_layout")
+    ev = load_table(spark, sf, "events")
+    cut = F.lit(_HALF).cast("timestamp_ntz")
+    old, new = [lay.days("ts")], [lay.months("ts")]
+    lay.write_layout(ev.where(F.col("ts") < cut), f"{base}/layout=1", old)
+    lay.write_layout(ev.where(F.col("ts") >= cut), f"{base}/layout=2", new)
+    a, b = "2024-01-14 00:00:00", "2024-01-18 00:00:00"
+    return lay.union_layouts([
+        lay.pruned_read(spark, f"{base}/layout=1", old, "ts", a, b).drop("ts_day"),
+        lay.pruned_read(spark, f"{base}/layout=2", new, "ts", a, b).drop("ts_month")])
+
+
+register("repartition_layout", f"""
+SELECT {_EVENT_COLS} FROM events
+WHERE ts >= TIMESTAMP '2024-01-14 00:00:00' AND ts < TIMESTAMP '2024-01-18 00:00:00'""")(_repartition_layout)
