@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exact import exact_sum
+from ..functions.exact import SCALE
 from ..functions.time import to_ntz
 
 
@@ -41,7 +41,7 @@ def sessions(df: DataFrame, keys: list[str], time_col: str, gap: str = "5 minute
 
     frag = (rows.groupBy(*keys, "_b", F.session_window("_t", gap).alias("_s"))
             .agg(F.count(F.lit(1)).alias("event_count"),
-                 *[exact_sum(c).alias(c) for c in sum_cols])
+                 *[F.sum(F.col(c).cast(f"decimal(18,{SCALE})")).alias(c) for c in sum_cols])
             .select(*keys, "_b", F.col("_s.start").alias("_start"),
                     F.col("_s.end").alias("_end"), "event_count", *sum_cols))
 
@@ -65,4 +65,5 @@ def sessions(df: DataFrame, keys: list[str], time_col: str, gap: str = "5 minute
 
     out = interior.unionByName(stitched)
     return out.select(*keys, to_ntz("_start").alias("session_start"),
-                      to_ntz("_end").alias("session_end"), "event_count", *sum_cols)
+                      to_ntz("_end").alias("session_end"), "event_count",
+                      *[F.col(c).cast("double").alias(c) for c in sum_cols])

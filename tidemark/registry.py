@@ -565,3 +565,198 @@ def _repartition_layout(spark, sf):
 register("repartition_layout", f"""
 SELECT {_EVENT_COLS} FROM events
 WHERE ts >= TIMESTAMP '2024-01-14 00:00:00' AND ts < TIMESTAMP '2024-01-18 00:00:00'""")(_repartition_layout)
+
+# ---------------------------------------------------------------- step 5: streaming
+from .streaming import lateness as late  # noqa: E402
+from .streaming import pipeline as sp  # noqa: E402
+
+
+def _stream_base(spark, sf, name) -> str:
+    """Write the trade messages as stream input files."""
+    base = scratch_path(spark, name)
+    m = _messages(spark, sf)
+    sp.write_message_files(m, f"{base}/in")
+    return base
+
+
+def _read_log(spark, path):
+    return _trade_out(spark.read.schema(sp.LOG_SCHEMA).parquet(path))
+
+
+_FINAL_BARS_SQL = W(f"""
+SELECT * FROM ({_BAR_SQL.format(unit='minute')})
+WHERE window_end <= (SELECT max(event_time) FROM trades) - INTERVAL 5 SECOND""")
+
+
+def _tumbling_bars_stream(spark, sf):
+    base = _stream_base(spark, sf, "tumbling_bars_stream")
+    trades = sp.trade_stream(sp.message_stream(spark, f"{base}/in"))
+    sp.stream_bars(trades, f"{base}/bars", f"{base}/ckpt", "1 minute", "final")
+    return spark.read.parquet(f"{base}/bars")
+
+
+register("tumbling_bars_stream", _FINAL_BARS_SQL)(_tumbling_bars_stream)
+
+
+def _upsert_bars_stream(spark, sf):
+    base = _stream_base(spark, sf, "upsert_bars_stream")
+    trades = sp.trade_stream(sp.message_stream(spark, f"{base}/in"))
+    sp.stream_bars(trades, f"{base}/bars", f"{base}/ckpt", "1 minute", "upsert")
+    return sp.read_upsert_bars(spark, f"{base}/bars")
+
+
+register("upsert_bars_stream", W(_BAR_SQL.format(unit="minute")))(_upsert_bars_stream)
+
+
+def _append_log_stream(spark, sf):
+    base = _stream_base(spark, sf, "append_log_stream")
+    sp.append_log(sp.trade_stream(sp.message_stream(spark, f"{base}/in"), None), f"{base}/log", f"{base}/ckpt")
+    return _read_log(spark, f"{base}/log")
+
+
+_LOG_SQL = W("SELECT symbol, ts, price, qty, side, seq, event_time FROM trades")
+register("append_log_stream", _LOG_SQL)(_append_log_stream)
+
+
+def _replay_stream(spark, sf):
+    """Log first: the stored trade log is replayed as a stream into bars."""
+    base = _stream_base(spark, sf, "replay_stream")
+    sp.append_log(sp.trade_stream(sp.message_stream(spark, f"{base}/in"), None), f"{base}/log", f"{base}/ckpt_log")
+    sp.stream_bars(sp.log_stream(spark, f"{base}/log"), f"{base}/bars", f"{base}/ckpt_bars", "1 minute", "final")
+    return spark.read.parquet(f"{base}/bars")
+
+
+register("replay_stream", _FINAL_BARS_SQL)(_replay_stream)
+
+
+def _restart_from_offset(spark, sf):
+    """Stop after the first half of the input, add the rest, resume on the same
+    checkpoint: every trade lands in the log exactly once."""
+    base = scratch_path(spark, "restart_from_offset")
+    m = _messages(spark, sf)
+    cut = F.unix_millis(F.lit(_HALF).cast("timestamp"))
+    jv = F.get_json_object("value", "$.ts").cast("long")
+    sp.write_message_files(m.where(jv < cut), f"{base}/in")
+    sp.append_log(sp.trade_stream(sp.message_stream(spark, f"{base}/in"), None), f"{base}/log", f"{base}/ckpt")
+    sp.write_message_files(m.where(jv >= cut), f"{base}/in")
+    sp.append_log(sp.trade_stream(sp.message_stream(spark, f"{base}/in"), None), f"{base}/log", f"{base}/ckpt")
+    return _read_log(spark, f"{base}/log")
+
+
+register("restart_from_offset", _LOG_SQL)(_restart_from_offset)
+
+
+def _checkpointed(spark, sf):
+    """Rerun on a finished checkpoint with no new input: nothing is written twice."""
+    base = _stream_base(spark, sf, "checkpointed")
+    for _ in range(2):
+        sp.append_log(sp.trade_stream(sp.message_stream(spark, f"{base}/in"), None), f"{base}/log", f"{base}/ckpt")
+    return _read_log(spark, f"{base}/log")
+
+
+register("checkpointed", _LOG_SQL)(_checkpointed)
+
+
+def _fan_out(spark, sf):
+    """Two independent readers (own checkpoints) each see every message."""
+    base = _stream_base(spark, sf, "fan_out")
+    outs = []
+    for reader in ("a", "b"):
+        sp.append_log(sp.trade_stream(sp.message_stream(spark, f"{base}/in"), None),
+                      f"{base}/log_{reader}", f"{base}/ckpt_{reader}")
+        outs.append(spark.read.schema(sp.LOG_SCHEMA).parquet(f"{base}/log_{reader}")
+                    .agg(F.count(F.lit(1)).alias("message_count")).withColumn("reader", F.lit(reader)))
+    return outs[0].unionByName(outs[1])
+
+
+register("fan_out", """
+SELECT 'a' AS reader, count(*) AS message_count FROM events
+UNION ALL SELECT 'b', count(*) FROM events""")(_fan_out)
+
+
+def _multi_sink(spark, sf):
+    base = _stream_base(spark, sf, "run_multi_sink")
+    trades = sp.trade_stream(sp.message_stream(spark, f"{base}/in"), None)
+    sp.run_multi_sink(trades, {
+        "raw": (lambda d: d.select(*sp.LOG_SCHEMA.fieldNames()), f"{base}/raw"),
+        "buys": (lambda d: d.where(F.col("side") == "BUY").select("symbol", "ts", "price", "qty", "seq"),
+                 f"{base}/buys"),
+    }, f"{base}/ckpt")
+    raw = spark.read.parquet(f"{base}/raw").agg(F.count(F.lit(1)).alias("row_count")).withColumn("branch", F.lit("raw"))
+    buys = spark.read.parquet(f"{base}/buys").agg(F.count(F.lit(1)).alias("row_count")).withColumn("branch", F.lit("buys"))
+    return raw.unionByName(buys)
+
+
+register("run_multi_sink", W("""
+SELECT 'raw' AS branch, count(*) AS row_count FROM trades
+UNION ALL SELECT 'buys', count(*) FROM trades WHERE side = 'BUY'"""))(_multi_sink)
+
+
+def _sessions_stream(spark, sf):
+    base = scratch_path(spark, "sessions_stream")
+    ev = load_table(spark, sf, "events")
+    ev.write.parquet(f"{base}/in")
+    stream = (spark.readStream.schema(ev.schema).parquet(f"{base}/in")
+              .withColumn("event_time", F.col("ts").cast("timestamp"))
+              .withWatermark("event_time", "5 seconds"))
+    sp.stream_sessions(stream, ["user_id"], "event_time", f"{base}/out", f"{base}/ckpt", "5 minutes")
+    return spark.read.parquet(f"{base}/out")
+
+
+register("sessions_stream", f"""
+SELECT * FROM ({_SESSIONS_SQL.format(gap='5 MINUTE')})
+WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 5 SECOND""")(_sessions_stream)
+
+register("late_rows", W("""
+SELECT t.symbol, t.ts, t.price, t.qty, t.side, t.seq, t.event_time
+FROM trades t JOIN w ON t.seq // 1000 = w.batch
+WHERE date_trunc('minute', t.event_time) + INTERVAL 1 MINUTE <= w.watermark""", """b AS (
+  SELECT seq // 1000 AS batch, max(event_time) AS m FROM trades GROUP BY 1
+), w AS (
+  SELECT batch, max(m) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                - INTERVAL 5 SECOND AS watermark FROM b
+)"""))(
+    lambda s, sf: _trade_out(late.late_rows(
+        _trades(s, sf).withColumn("batch", F.floor(F.col("seq") / 1000)), "batch").drop("batch")))
+
+register("with_proc_time")(
+    lambda s, sf: _trades(s, sf).withColumn("proc_time", to_ntz(F.current_timestamp()))
+    .select("symbol", "ts", "proc_time"))
+
+register("process_time_window")(lambda s, sf: sp.process_time_window(_trades(s, sf)))
+
+# ---------------------------------------------------------------- step 9: checks
+from .operators.checks import reconcile_bars  # noqa: E402
+from .sources.objects import list_objects, table_has_files  # noqa: E402
+
+register("reconcile_bars", W("""
+SELECT symbol, log_count, log_count AS bar_count, log_qty, log_qty AS bar_qty, true AS consistent FROM l""",
+                             """l AS (
+  SELECT symbol, count(*) AS log_count, CAST(sum(CAST(qty AS DECIMAL(18,4))) AS DOUBLE) AS log_qty
+  FROM trades GROUP BY symbol
+)"""))(lambda s, sf: reconcile_bars(_trades(s, sf), ops.ohlcv_bars(_trades(s, sf))))
+
+register("running_summary", W("""
+SELECT symbol, min(event_time) AS session_start, max(event_time) + INTERVAL 24 HOUR AS session_end,
+       count(*) AS event_count, CAST(sum(CAST(qty AS DECIMAL(18,4))) AS DOUBLE) AS qty
+FROM g GROUP BY symbol, grp""", """s AS (
+  SELECT symbol, event_time, qty,
+         CASE WHEN lag(event_time) OVER w IS NULL OR event_time - lag(event_time) OVER w > INTERVAL 24 HOUR
+              THEN 1 ELSE 0 END AS new_state
+  FROM trades WINDOW w AS (PARTITION BY symbol ORDER BY event_time)
+), g AS (
+  SELECT *, sum(new_state) OVER (PARTITION BY symbol ORDER BY event_time
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM s
+)"""))(
+    lambda s, sf: ops.sessions(_trades(s, sf), ["symbol"], "event_time", "24 hours", ("qty",), "1 day"))
+
+
+def _listed_table(spark, sf):
+    vt = _event_versions(spark, sf, "list_objects")
+    return list_objects(spark, vt.root)
+
+
+register("list_objects")(lambda s, sf: _listed_table(s, sf).select("path", "length"))
+
+register("table_has_files", "SELECT count(*) > 0 AS has_files FROM (SELECT 1 FROM events LIMIT 1)")(
+    lambda s, sf: table_has_files(_listed_table(s, sf)))
