@@ -37,7 +37,9 @@ def sessions(df: DataFrame, keys: list[str], time_col: str, gap: str = "5 minute
     bucket_us = _micros(bucket)
     t = F.col(time_col).cast("timestamp")
     rows = df.select(*keys, t.alias("_t"), *sum_cols).where(F.col("_t").isNotNull())
-    rows = rows.withColumn("_b", F.floor(F.unix_micros("_t") / F.lit(bucket_us)))
+    us = F.unix_micros("_t")
+    rows = rows.withColumn("_b", (us - F.pmod(us, F.lit(bucket_us))).cast("long") / F.lit(bucket_us))
+    rows = rows.withColumn("_b", F.col("_b").cast("long"))  # exact floor division
 
     frag = (rows.groupBy(*keys, "_b", F.session_window("_t", gap).alias("_s"))
             .agg(F.count(F.lit(1)).alias("event_count"),

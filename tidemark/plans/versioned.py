@@ -78,6 +78,7 @@ class VersionedTable:
         self.keys, self.ts, self.seq = keys, ts, seq
         self.data_path = f"{self.root}/data"
         self.log_path = f"{self.root}/_commits"
+        self._log_cache: list | None = None
 
     # ------------------------------------------------------------ commit log
     def commits(self) -> DataFrame:
@@ -87,8 +88,18 @@ class VersionedTable:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
 
     def _log(self) -> list:
-        """Commit rows on the driver, oldest first (metadata only)."""
-        return sorted(self.commits().collect(), key=lambda r: r.version)
+        """Commit rows on the driver, oldest first (metadata only).
+
+        Cached per instance and dropped by every write through it; another
+        writer's commits are seen after ``refresh()``.
+        """
+        if self._log_cache is None:
+            self._log_cache = sorted(self.commits().collect(), key=lambda r: r.version)
+        return self._log_cache
+
+    def refresh(self) -> "VersionedTable":
+        self._log_cache = None
+        return self
 
     def _append_commit(self, **row) -> int:
         log = self._log()
@@ -100,6 +111,7 @@ class VersionedTable:
                "schema_json": row.get("schema_json") or (log[-1].schema_json if log else None)}
         (self.spark.createDataFrame([rec], COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self.log_path))
+        self.refresh()
         return version
 
     def current_version(self) -> int | None:
@@ -163,6 +175,7 @@ class VersionedTable:
                .withColumn("target", F.lit(None).cast("long"))
                .withColumn("schema_json", F.lit(schema.json())))
         log.select(*COMMIT_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(self.log_path)
+        self.refresh()
 
     def rollback_to(self, version: int, committed_at=None) -> int:
         """New commit whose visible data is that of ``version`` (no data rewritten)."""

@@ -760,3 +760,62 @@ register("list_objects")(lambda s, sf: _listed_table(s, sf).select("path", "leng
 
 register("table_has_files", "SELECT count(*) > 0 AS has_files FROM (SELECT 1 FROM events LIMIT 1)")(
     lambda s, sf: table_has_files(_listed_table(s, sf)))
+
+# ---------------------------------------------------------------- ordering, watermark, SQL path
+register("order_within_key", W(f"""
+SELECT partition, key, count(*) AS message_count,
+       count(*) FILTER (WHERE ts < prev_max) AS out_of_order
+FROM (SELECT {_PART_SQL.format(k='symbol')} AS partition, symbol AS key, seq, ts,
+             max(ts) OVER (PARTITION BY symbol ORDER BY seq
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max
+      FROM trades)
+GROUP BY partition, key"""))(
+    lambda s, sf: late.out_of_order(
+        _messages(s, sf).withColumn("ts", F.get_json_object("value", "$.ts").cast("long"))))
+
+register("with_watermark", W("""
+SELECT batch, max(m) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+              - INTERVAL 5 SECOND AS watermark
+FROM (SELECT seq // 1000 AS batch, max(event_time) AS m FROM trades GROUP BY 1)"""))(
+    lambda s, sf: late.watermarks(_trades(s, sf).withColumn("batch", F.floor(F.col("seq") / 1000)), "batch")
+    .withColumn("watermark", to_ntz("watermark")))
+
+
+def _sql_view(spark, sf):
+    project_trades(_trades(spark, sf)).createOrReplaceTempView("raw_trades")
+
+
+def _sql_symbol_summary(spark, sf):
+    _sql_view(spark, sf)
+    return spark.sql("""
+        SELECT symbol, count(*) AS trade_count,
+               CAST(sum(CAST(qty AS DECIMAL(18,4))) AS DOUBLE) AS total_volume,
+               CAST(sum(CAST(price AS DECIMAL(18,4))) AS DOUBLE) / count(price) AS avg_price
+        FROM raw_trades GROUP BY symbol""")
+
+
+register("sql_symbol_summary", ORACLE["symbol_summary"])(_sql_symbol_summary)
+
+
+def _sql_window_counts(spark, sf):
+    _sql_view(spark, sf)
+    return spark.sql("""
+        SELECT symbol, CAST(window.start AS TIMESTAMP_NTZ) AS window_start,
+               CAST(window.end AS TIMESTAMP_NTZ) AS window_end, count(*) AS trade_count
+        FROM raw_trades GROUP BY symbol, window(event_time, '1 minute')""")
+
+
+register("sql_window_counts", ORACLE["window_counts"])(_sql_window_counts)
+
+
+def _peek_stream(spark, sf):
+    """LIMIT on a stream (append mode), collected by the memory sink."""
+    base = _stream_base(spark, sf, "peek_stream")
+    name = "peek_" + base.rsplit("-", 1)[-1]
+    stream = sp.trade_stream(sp.message_stream(spark, f"{base}/in"), None).limit(5)
+    sp.run(stream.select("symbol", "ts", "price", "qty", "side").writeStream.format("memory")
+           .queryName(name).option("checkpointLocation", f"{base}/ckpt").outputMode("append"))
+    return spark.table(name)
+
+
+register("peek_stream")(_peek_stream)

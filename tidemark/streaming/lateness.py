@@ -17,19 +17,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def prefix_max_before(per_batch: DataFrame, order: str, value: str, block: int = 4096) -> DataFrame:
-    """For each row, max(value) over rows with a smaller ``order`` (NULL for the first)."""
-    b = per_batch.withColumn("_blk", F.floor(F.col(order) / block))
-    within = Window.partitionBy("_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def prefix_max_before(rows: DataFrame, order: str, value: str, block: int = 4096,
+                      groups: tuple[str, ...] = ()) -> DataFrame:
+    """For each row, max(value) over rows of its group with a smaller ``order``
+    (NULL for the first).  ``order`` must be unique within a group."""
+    g = list(groups)
+    b = rows.withColumn("_blk", F.floor(F.col(order) / block))
+    within = Window.partitionBy(*g, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     b = b.withColumn("_in", F.max(value).over(within))
-    blocks = b.groupBy("_blk").agg(F.max(value).alias("_bmax"))
-    over_blocks = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)  # one row per block
+    blocks = b.groupBy(*g, "_blk").agg(F.max(value).alias("_bmax"))
+    # one row per (group, block): a block holds up to ``block`` rows
+    over_blocks = Window.partitionBy(*g).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_before", F.max("_bmax").over(over_blocks)).drop("_bmax")
-    return (b.join(blocks, "_blk", "left")
+    return (b.join(blocks, [*g, "_blk"], "left")
             .withColumn(f"{value}_before", F.greatest("_in", "_before"))
             .drop("_blk", "_in", "_before"))
 
 
+def out_of_order(messages: DataFrame, group: tuple[str, ...] = ("partition", "key"),
+                 order: str = "offset", ts: str = "ts") -> DataFrame:
+    """Per (partition, key): messages, and how many arrived after a newer one.
+
+    The source only orders messages within a partition, and the event time
+    need not follow the offset even there; every consumer here re-orders by
+    (ts, seq) instead of trusting arrival order.
+    """
+    pm = prefix_max_before(messages.select(*group, order, ts), order, ts, groups=group)
+    return (pm.groupBy(*group)
+            .agg(F.count(F.lit(1)).alias("message_count"),
+                 F.count(F.when(F.col(ts) < F.col(f"{ts}_before"), 1)).alias("out_of_order")))
+
+
 def watermarks(trades: DataFrame, batch_col: str, lateness: str = "5 seconds",
                time_col: str = "event_time") -> DataFrame:
     """batch -> watermark in force when that micro-batch starts."""
