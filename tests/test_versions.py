@@ -67,3 +67,14 @@ def test_commit_is_idempotent_per_batch(spark, tmp_root):
     vt.commit(df)
     df.write.mode("overwrite").parquet(f"{vt.data_path}/batch_id=1")
     assert vt.snapshot().count() == 1
+
+
+def test_append_only_diff_reads_batches(spark, tmp_root):
+    vt = VersionedTable(spark, tmp_root)
+    for i in range(3):
+        vt.commit(spark.createDataFrame([(i, f"S{i}")], "id long, symbol string"))
+    vt.rollback_to(1)
+    got = sorted((r.id, r.change) for r in vt.diff(3, 4).collect())
+    assert got == [(1, "removed"), (2, "removed")]
+    got = sorted((r.id, r.change) for r in vt.diff(1, 3).collect())
+    assert got == [(1, "added"), (2, "added")]

@@ -257,9 +257,14 @@ class VersionedTable:
             raise ValueError(f"no version at or before {ts}")
         return max(cands)
 
-    def log_rows(self, version: int | None = None) -> DataFrame:
-        """All visible rows (no upsert), projected onto the version's schema."""
+    def log_rows(self, version: int | None = None, only: set[int] | None = None) -> DataFrame:
+        """All visible rows (no upsert), projected onto the version's schema.
+
+        ``only`` restricts the read to some of the visible batches.
+        """
         batches = self.visible_batches(version)
+        if only is not None:
+            batches = [b for b in batches if b in only]
         schema = self.schema(version)
         if not batches:
             return self.spark.createDataFrame([], T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())]))
@@ -340,9 +345,12 @@ class VersionedTable:
     def diff(self, v_old: int, v_new: int) -> DataFrame:
         """Rows added, removed or changed between two versions (by key)."""
         if not self.keys:
-            old, new = self.snapshot(v_old), self.snapshot(v_new)
-            return (new.exceptAll(old).withColumn("change", F.lit("added"))
-                    .unionByName(old.exceptAll(new).withColumn("change", F.lit("removed"))))
+            # Append-only: the difference is whole batches, found from the
+            # commit log alone; only those directories are read.
+            b_old, b_new = set(self.visible_batches(v_old)), set(self.visible_batches(v_new))
+            added = self.log_rows(v_new, b_new - b_old).drop("batch_id").withColumn("change", F.lit("added"))
+            removed = self.log_rows(v_old, b_old - b_new).drop("batch_id").withColumn("change", F.lit("removed"))
+            return added.unionByName(removed, allowMissingColumns=True)
         old, new = self.snapshot(v_old), self.snapshot(v_new)
         rest = [c for c in new.columns if c not in self.keys]
         o = old.select(*self.keys, F.struct(*rest).alias("_old"))

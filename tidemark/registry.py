@@ -389,7 +389,7 @@ register("files")(lambda s, sf: _event_versions(s, sf, "files").files())
 register("rows_growing", f"""
 WITH c AS ({_SNAP_SQL})
 SELECT version, added_rows,
-       sum(added_rows) OVER (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total_rows,
+       CAST(sum(added_rows) OVER (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total_rows,
        true AS growing
 FROM c""")(lambda s, sf: _event_versions(s, sf, "rows_growing").rows_growing())
 

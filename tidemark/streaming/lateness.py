@@ -22,7 +22,8 @@ def prefix_max_before(rows: DataFrame, order: str, value: str, block: int = 4096
     """For each row, max(value) over rows of its group with a smaller ``order``
     (NULL for the first).  ``order`` must be unique within a group."""
     g = list(groups)
-    b = rows.withColumn("_blk", F.floor(F.col(order) / block))
+    o = F.col(order).cast("long")
+    b = rows.withColumn("_blk", ((o - F.pmod(o, F.lit(block))) / F.lit(block)).cast("long"))
     within = Window.partitionBy(*g, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     b = b.withColumn("_in", F.max(value).over(within))
     blocks = b.groupBy(*g, "_blk").agg(F.max(value).alias("_bmax"))
