@@ -819,3 +819,26 @@ def _peek_stream(spark, sf):
 
 
 register("peek_stream")(_peek_stream)
+
+# ---------------------------------------------------------------- DDL: catalog tables
+from .plans import catalog as cat  # noqa: E402
+
+
+def _catalog_bars(spark, sf):
+    """CREATE DATABASE / CREATE TABLE IF NOT EXISTS / INSERT INTO / read by name."""
+    base = scratch_path(spark, "catalog")
+    db = "tidemark_" + base.rsplit("-", 1)[-1]
+    current = spark.catalog.currentDatabase()
+    cat.ensure_database(spark, db, f"{base}/db")
+    try:
+        cat.create_table_if_missing(spark, f"{db}.raw_trades", cat.RAW_TRADES_SCHEMA, f"{base}/raw_trades")
+        cat.create_table_if_missing(spark, f"{db}.agg_1m", cat.AGG_1M_SCHEMA, f"{base}/agg_1m")
+        trades = _trades(spark, sf)
+        cat.insert(project_trades(trades), f"{db}.raw_trades", cat.RAW_TRADES_SCHEMA)
+        cat.insert(ops.ohlcv_bars(trades), f"{db}.agg_1m", cat.AGG_1M_SCHEMA)  # bars from the input, not the table
+    finally:
+        spark.catalog.setCurrentDatabase(current)
+    return spark.table(f"{db}.agg_1m")
+
+
+register("catalog_tables", ORACLE["ohlcv_bars_1m"])(_catalog_bars)
