@@ -27,10 +27,21 @@ BASE_CONF = {
 }
 
 
+ROCKSDB_STATE = {"spark.sql.streaming.stateStore.providerClass":
+                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
 def get_session(master: str | None = None, app: str = "tidemark",
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, rocksdb_state: bool = False) -> SparkSession:
+    """``rocksdb_state`` keeps streaming state off the JVM heap: use it when
+    keyed state is large (sessions over many users).  For bar state
+    (symbols x open windows) the default in-memory store measured faster.
+    It must be chosen before a query's first run; a checkpoint keeps it."""
     builder = SparkSession.builder.appName(app)
+    if rocksdb_state:
+        for k, v in ROCKSDB_STATE.items():
+            builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     for k, v in BASE_CONF.items():
