@@ -138,3 +138,15 @@ def test_hop_edge(spark):
     got = sorted((r.window_start, r.window_end) for r in ops.sliding_counts(t, "2 minutes", "1 minute").collect())
     assert got == [(ntz("2024-01-01 10:00:00"), ntz("2024-01-01 10:02:00")),
                    (ntz("2024-01-01 10:01:00"), ntz("2024-01-01 10:03:00"))]
+
+
+def test_prefix_scan_matches_running_max(spark):
+    from tidemark.streaming.lateness import prefix_max_before
+    rng = random.Random(5)
+    rows = [(k, i, rng.randrange(1000)) for k in range(3) for i in range(0, 700, rng.choice([1, 2, 3]))]
+    df = spark.createDataFrame(rows, "k long, o long, v long")
+    got = {(r.k, r.o): r.v_before for r in prefix_max_before(df, "o", "v", block=4, groups=("k",)).collect()}
+    best = {}
+    for k, o, v in sorted(rows):
+        assert got[(k, o)] == best.get(k)
+        best[k] = max(best.get(k, v), v)

@@ -71,14 +71,20 @@ def shared_dir(spark: SparkSession) -> str:
     Only when the session has none (local tests) is a private folder created
     and registered, so executors and the driver agree on one location.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a SparkContext (Spark Connect)
+        sc = None
+    d = sc.getCheckpointDir() if sc is not None else None
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+        if sc is not None:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
+        else:
+            spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 

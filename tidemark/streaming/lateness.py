@@ -5,10 +5,9 @@ window end is at or before the watermark in force when the row's
 micro-batch starts, i.e. max(event_time) over all *earlier* micro-batches
 minus the allowed lateness.  Spark only counts such rows; this returns them.
 
-The watermark per batch is a running maximum over batches.  It is computed
-as a two-level scan so no task sees more than one block of batches: a
-running max inside each block of ``block`` batches, and a running max over
-the per-block maxima (one row per block).
+The watermark per batch is a running maximum over batches, computed as a
+blocked parallel prefix scan (``prefix_max_before``) so no task sees more
+than one block of batches.
 """
 
 from __future__ import annotations
@@ -18,21 +17,33 @@ from pyspark.sql import functions as F
 
 
 def prefix_max_before(rows: DataFrame, order: str, value: str, block: int = 4096,
-                      groups: tuple[str, ...] = ()) -> DataFrame:
+                      groups: tuple[str, ...] = (), levels: int = 3) -> DataFrame:
     """For each row, max(value) over rows of its group with a smaller ``order``
-    (NULL for the first).  ``order`` must be unique within a group."""
+    (NULL for the first).  ``order`` must be a unique long within a group.
+
+    A parallel prefix scan: rows are cut into blocks of ``block`` consecutive
+    orders; each block is scanned on its own, and the per-block maxima are
+    scanned the same way, recursively, ``levels`` deep.  No window partition
+    holds more than ``block`` rows until the top level, which holds one row
+    per block^levels rows of a group (a few rows even for a key with a
+    third of 10^12 rows).
+    """
     g = list(groups)
+    blk, inner, before = f"_blk{levels}", f"_in{levels}", f"_before{levels}"
     o = F.col(order).cast("long")
-    b = rows.withColumn("_blk", ((o - F.pmod(o, F.lit(block))) / F.lit(block)).cast("long"))
-    within = Window.partitionBy(*g, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    b = b.withColumn("_in", F.max(value).over(within))
-    blocks = b.groupBy(*g, "_blk").agg(F.max(value).alias("_bmax"))
-    # one row per (group, block): a block holds up to ``block`` rows
-    over_blocks = Window.partitionBy(*g).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_before", F.max("_bmax").over(over_blocks)).drop("_bmax")
-    return (b.join(blocks, [*g, "_blk"], "left")
-            .withColumn(f"{value}_before", F.greatest("_in", "_before"))
-            .drop("_blk", "_in", "_before"))
+    b = rows.withColumn(blk, ((o - F.pmod(o, F.lit(block))) / F.lit(block)).cast("long"))
+    within = Window.partitionBy(*g, blk).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    b = b.withColumn(inner, F.max(value).over(within))
+    blocks = b.groupBy(*g, blk).agg(F.max(value).alias("_bmax"))
+    if levels > 1:
+        blocks = (prefix_max_before(blocks, blk, "_bmax", block, groups, levels - 1)
+                  .select(*g, blk, F.col("_bmax_before").alias(before)))
+    else:
+        over_blocks = Window.partitionBy(*g).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
+        blocks = blocks.withColumn(before, F.max("_bmax").over(over_blocks)).drop("_bmax")
+    return (b.join(blocks, [*g, blk], "left")
+            .withColumn(f"{value}_before", F.greatest(inner, before))
+            .drop(blk, inner, before))
 
 
 def out_of_order(messages: DataFrame, group: tuple[str, ...] = ("partition", "key"),
