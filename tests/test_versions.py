@@ -78,3 +78,13 @@ def test_append_only_diff_reads_batches(spark, tmp_root):
     assert got == [(1, "removed"), (2, "removed")]
     got = sorted((r.id, r.change) for r in vt.diff(1, 3).collect())
     assert got == [(1, "added"), (2, "added")]
+
+
+def test_commit_token_makes_retry_a_no_op(spark, tmp_root):
+    vt = VersionedTable(spark, tmp_root)
+    df = spark.createDataFrame([(1, "A")], "id long, symbol string")
+    assert vt.commit(df, token="q:0") == 1
+    assert vt.commit(df, token="q:0") == 1          # retried micro-batch
+    assert vt.commit(df, token="q:1") == 2
+    assert vt.snapshot().count() == 2
+    assert vt.refresh().current_version() == 2

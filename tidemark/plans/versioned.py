@@ -41,6 +41,7 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("parent", T.LongType()),         # version current before it
     T.StructField("target", T.LongType()),         # rollback target
     T.StructField("schema_json", T.StringType()),  # table schema after it
+    T.StructField("token", T.StringType()),        # caller's idempotency token
 ])
 
 # Type changes allowed by widen_type (old simple type -> new simple type).
@@ -108,7 +109,8 @@ class VersionedTable:
         rec = {"version": version, "committed_at": _ntz(row.get("committed_at")),
                "operation": row["operation"], "batch_id": row.get("batch_id"),
                "parent": parent, "target": row.get("target"),
-               "schema_json": row.get("schema_json") or (log[-1].schema_json if log else None)}
+               "schema_json": row.get("schema_json") or (log[-1].schema_json if log else None),
+               "token": row.get("token")}
         (self.spark.createDataFrame([rec], COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self.log_path))
         self.refresh()
@@ -142,15 +144,27 @@ class VersionedTable:
             raise ValueError(f"columns not in the table schema: {[f.name for f in extra]}")
         return T.StructType(cur.fields + _with_ids(T.StructType(extra), _max_id(cur) + 1).fields)
 
-    def commit(self, df: DataFrame, committed_at=None, evolve: bool = False) -> int:
-        """Append ``df`` as one new version."""
-        schema = self._data_schema(df, evolve)
+    def commit(self, df: DataFrame, committed_at=None, evolve: bool = False,
+               token: str | None = None) -> int:
+        """Append ``df`` as one new version.
+
+        With a ``token`` (e.g. "<query id>:<micro-batch id>") a commit that
+        already happened is not repeated: a retry after a crash between the
+        commit row and the caller's own bookkeeping returns the old version.
+        A crash before the commit row leaves an uncommitted directory that no
+        reader sees and that the retry overwrites.
+        """
         log = self._log()
+        if token is not None:
+            done = [r.version for r in log if r.token == token]
+            if done:
+                return done[0]
+        schema = self._data_schema(df, evolve)
         version = (log[-1].version + 1) if log else 1
         cols = [f.name for f in schema.fields if f.name in df.columns]
         df.select(*cols).write.mode("overwrite").parquet(f"{self.data_path}/batch_id={version}")
         return self._append_commit(operation="append", batch_id=version, committed_at=committed_at,
-                                   schema_json=schema.json())
+                                   schema_json=schema.json(), token=token)
 
     def bulk_commit(self, df: DataFrame, batch: Column, committed_at: Column) -> None:
         """Backfill: one version per distinct ``batch`` value, in one write job.
@@ -173,7 +187,8 @@ class VersionedTable:
                        F.lit("append").alias("operation"), "batch_id")
                .withColumn("parent", F.lag("version").over(by_version))
                .withColumn("target", F.lit(None).cast("long"))
-               .withColumn("schema_json", F.lit(schema.json())))
+               .withColumn("schema_json", F.lit(schema.json()))
+               .withColumn("token", F.lit(None).cast("string")))
         log.select(*COMMIT_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(self.log_path)
         self.refresh()
 

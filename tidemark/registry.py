@@ -842,3 +842,20 @@ def _catalog_bars(spark, sf):
 
 
 register("catalog_tables", ORACLE["ohlcv_bars_1m"])(_catalog_bars)
+
+
+def _versioned_stream(spark, sf):
+    """Stream -> versioned raw-trade table keyed by (symbol, ts), two runs."""
+    base = scratch_path(spark, "versioned_stream")
+    m = _messages(spark, sf)
+    cut = F.unix_millis(F.lit(_HALF).cast("timestamp"))
+    jv = F.get_json_object("value", "$.ts").cast("long")
+    vt = VersionedTable(spark, f"{base}/table", keys=["symbol", "ts"], ts="ts", seq="seq")
+    for part in (m.where(jv < cut), m.where(jv >= cut)):
+        sp.write_message_files(part, f"{base}/in")
+        sp.stream_to_versioned(sp.trade_stream(sp.message_stream(spark, f"{base}/in"), None),
+                               vt, f"{base}/ckpt", "raw_trades")
+    return _out_trades(vt.refresh().snapshot())
+
+
+register("versioned_stream", ORACLE["upsert_raw_trades"])(_versioned_stream)

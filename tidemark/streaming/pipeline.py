@@ -167,6 +167,20 @@ def run_multi_sink(stream: DataFrame, branches: dict[str, tuple[Callable[[DataFr
     return run(w, trigger)
 
 
+def stream_to_versioned(stream: DataFrame, table, checkpoint: str, name: str,
+                        trigger: str | None = None):
+    """Each micro-batch becomes one version of a ``VersionedTable``.
+
+    The commit token is (name, micro-batch id), so a micro-batch replayed
+    after a failure is committed once.  Readers of the table go through its
+    commit log; do not point a file stream at the table's directories.
+    """
+    def write_batch(df: DataFrame, batch_id: int) -> None:
+        table.commit(df, token=f"{name}:{batch_id}")
+    w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return run(w, trigger)
+
+
 def process_time_window(trades: DataFrame, size: str = "1 minute") -> DataFrame:
     """Aggregate by processing time (one wall-clock value per micro-batch)."""
     g = (trades.withColumn("proc_time", F.current_timestamp())
