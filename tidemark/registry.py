@@ -859,3 +859,31 @@ def _versioned_stream(spark, sf):
 
 
 register("versioned_stream", ORACLE["upsert_raw_trades"])(_versioned_stream)
+
+
+# Orders arrive by o_orderkey, which is unrelated to o_orderdate: the same
+# lateness and ordering checks on a feed whose arrival order is not time order.
+def _orders_feed(spark, sf):
+    return (load_table(spark, sf, "orders")
+            .withColumn("event_time", F.col("o_orderdate").cast("timestamp"))
+            .withColumn("batch", F.floor(F.col("o_orderkey") / 1000)))
+
+
+register("late_rows_orders", """
+WITH b AS (SELECT o_orderkey // 1000 AS batch, max(o_orderdate) AS m FROM orders GROUP BY 1),
+w AS (SELECT batch, max(m) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                    - INTERVAL 1 DAY AS watermark FROM b)
+SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, w.batch
+FROM orders o JOIN w ON o.o_orderkey // 1000 = w.batch
+WHERE date_trunc('day', o.o_orderdate) + INTERVAL 1 DAY <= w.watermark""")(
+    lambda s, sf: late.late_rows(_orders_feed(s, sf), "batch", "1 day", "1 day")
+    .select("o_orderkey", "o_custkey", "o_orderdate", "batch"))
+
+register("order_within_key_orders", """
+SELECT o_custkey, count(*) AS message_count, count(*) FILTER (WHERE o_orderdate < prev_max) AS out_of_order
+FROM (SELECT o_custkey, o_orderdate,
+             max(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderkey
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max
+      FROM orders)
+GROUP BY o_custkey""")(
+    lambda s, sf: late.out_of_order(load_table(s, sf, "orders"), ("o_custkey",), "o_orderkey", "o_orderdate"))
