@@ -5,7 +5,6 @@ import itertools
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark import operators as ops
 from tidemark.functions.time import event_time

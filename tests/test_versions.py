@@ -1,7 +1,6 @@
 """versions / evolved fixtures on the versioned table."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.plans.versioned import VersionedTable
 

@@ -14,9 +14,18 @@ from pyspark.sql import functions as F
 
 from . import operators as ops
 from .functions.ordering import first_value, last_value
-from .functions.time import to_ntz
+from .functions.time import clock_label, to_ntz
+from .operators.checks import reconcile_bars
+from .plans import catalog as cat
+from .plans import layout as lay
+from .plans.versioned import VersionedTable
+from .session import scratch_path
+from .sources import messages as msg
+from .sources.objects import list_objects, table_has_files
 from .sources.tables import load_table
 from .sources.trades import TRADES_SQL, load_trades, project_trades
+from .streaming import lateness as late
+from .streaming import pipeline as sp
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -238,8 +247,6 @@ GROUP BY o_custkey, o_orderdate HAVING count(*) > 1""")(
     lambda s, sf: ops.check_unique_key(load_table(s, sf, "orders"), ["o_custkey", "o_orderdate"]))
 
 # ---------------------------------------------------------------- step 4: JSON in / out
-from .functions.time import clock_label  # noqa: E402
-from .sources import messages as msg  # noqa: E402
 
 _PART_SQL = "CAST((('0x' || substr(md5({k}), 1, 8))::BIGINT) % 3 AS INTEGER)"
 _VALUE_SQL = "json_object('symbol', symbol, 'ts', ts, 'price', price, 'qty', qty, 'side', side)::VARCHAR"
@@ -319,9 +326,6 @@ register("topic_non_empty", "SELECT count(*) > 0 AS non_empty FROM (SELECT 1 FRO
     lambda s, sf: _messages(s, sf).limit(1).agg((F.count(F.lit(1)) > 0).alias("non_empty")))
 
 # ---------------------------------------------------------------- step 7: versions
-from .plans import layout as lay  # noqa: E402
-from .plans.versioned import VersionedTable  # noqa: E402
-from .session import scratch_path  # noqa: E402
 
 # Versions of the events table: one commit per calendar day of ``ts``
 # (version = day number since 2023-12-31, so 2024-01-05 is version 5),
@@ -567,8 +571,6 @@ SELECT {_EVENT_COLS} FROM events
 WHERE ts >= TIMESTAMP '2024-01-14 00:00:00' AND ts < TIMESTAMP '2024-01-18 00:00:00'""")(_repartition_layout)
 
 # ---------------------------------------------------------------- step 5: streaming
-from .streaming import lateness as late  # noqa: E402
-from .streaming import pipeline as sp  # noqa: E402
 
 
 def _stream_base(spark, sf, name) -> str:
@@ -726,8 +728,6 @@ register("with_proc_time")(
 register("process_time_window")(lambda s, sf: sp.process_time_window(_trades(s, sf)))
 
 # ---------------------------------------------------------------- step 9: checks
-from .operators.checks import reconcile_bars  # noqa: E402
-from .sources.objects import list_objects, table_has_files  # noqa: E402
 
 register("reconcile_bars", W("""
 SELECT symbol, log_count, log_count AS bar_count, log_qty, log_qty AS bar_qty, true AS consistent FROM l""",
@@ -821,7 +821,6 @@ def _peek_stream(spark, sf):
 register("peek_stream")(_peek_stream)
 
 # ---------------------------------------------------------------- DDL: catalog tables
-from .plans import catalog as cat  # noqa: E402
 
 
 def _catalog_bars(spark, sf):
