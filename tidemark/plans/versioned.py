@@ -192,6 +192,20 @@ class VersionedTable:
         log.select(*COMMIT_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(self.log_path)
         self.refresh()
 
+    def compact(self, committed_at=None) -> int:
+        """Rewrite the current state as one batch (latest row per key).
+
+        Later reads of the current version touch only that batch; earlier
+        versions stay readable from their own batches.  Retention (deleting
+        batches no version needs) is left to the operator.
+        """
+        state = self.snapshot()
+        log = self._log()
+        version = (log[-1].version + 1) if log else 1
+        state.write.mode("overwrite").parquet(f"{self.data_path}/batch_id={version}")
+        return self._append_commit(operation="compact", batch_id=version, committed_at=committed_at,
+                                   schema_json=self.schema().json())
+
     def rollback_to(self, version: int, committed_at=None) -> int:
         """New commit whose visible data is that of ``version`` (no data rewritten)."""
         if version not in {r.version for r in self._log()}:
@@ -261,6 +275,8 @@ class VersionedTable:
                 continue
             if r.batch_id is not None:
                 out.append(r.batch_id)
+            if r.operation == "compact":  # holds the whole state of its parent
+                break
             v = r.parent
         return sorted(out)
 

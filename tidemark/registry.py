@@ -886,3 +886,12 @@ FROM (SELECT o_custkey, o_orderdate,
       FROM orders)
 GROUP BY o_custkey""")(
     lambda s, sf: late.out_of_order(load_table(s, sf, "orders"), ("o_custkey",), "o_orderkey", "o_orderdate"))
+
+
+def _compacted(spark, sf):
+    vt = _event_versions(spark, sf, "compact_table")
+    vt.compact("2024-02-01 00:00:00")
+    return vt.snapshot()
+
+
+register("compact_table", _latest_sql("true"))(_compacted)

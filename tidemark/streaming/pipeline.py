@@ -8,9 +8,11 @@ Layout decisions:
   stream, so the source is read once however many tables are built.
 * **Two bar modes.**  ``final``: append mode, a bar is written once, when
   the watermark passes its end.  ``upsert``: update mode; every micro-batch
-  writes the bars it changed to ``batch_id=N`` (overwrite, so a replayed
-  batch is idempotent) and readers keep the row of the highest batch per
-  (symbol, window_start).  It also shows the still-open windows.
+  commits the bars it changed as one version of a versioned table keyed by
+  (symbol, window_start) (commit token = micro-batch id, so a replayed
+  batch commits once); the newest micro-batch wins per key.  It also shows
+  the still-open windows, and the bar table gets snapshots, time travel and
+  compaction like any versioned table.
 * Every query takes a checkpoint location; rerunning on the same one
   resumes from the last committed offsets with no loss and no duplicates.
 """
@@ -25,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..functions.time import to_ntz
 from ..operators.bars import bar_aggregates
-from ..operators.upsert import upsert_by_key
+from ..plans.versioned import VersionedTable
 from ..sources.messages import good_trades, parse_trades
 
 ENVELOPE_SCHEMA = T.StructType([
@@ -119,21 +121,27 @@ def stream_bars(trades: DataFrame, path: str, checkpoint: str, size: str = "1 mi
              .option("checkpointLocation", checkpoint).outputMode("append"))
         return run(w, trigger)
     if mode == "upsert":
+        table = bar_table(trades.sparkSession, path)
+
         def write_batch(df: DataFrame, batch_id: int) -> None:
-            (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-             .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+            if df.isEmpty():  # watermark-only micro-batch: nothing changed
+                return
+            table.commit(df.withColumn("_mb", F.lit(batch_id).cast("long")), token=f"bars:{batch_id}")
         w = (bars.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint).outputMode("update"))
         return run(w, trigger)
     raise ValueError("mode must be 'final' or 'upsert'")
 
 
-def read_upsert_bars(spark: SparkSession, path: str) -> DataFrame:
-    """Current bars of an upsert-mode bar table: the newest batch per key."""
-    raw = spark.read.option("basePath", path).parquet(path)
-    latest = upsert_by_key(raw.withColumn("_zero", F.lit(0).cast("long")),
-                           ["symbol", "window_start"], "batch_id", "_zero")
-    return latest.drop("batch_id", "_zero")
+def bar_table(spark: SparkSession, path: str) -> VersionedTable:
+    """Upsert-mode bars: a versioned table keyed by (symbol, window_start);
+    a bar updated in a later micro-batch replaces the earlier row."""
+    return VersionedTable(spark, path, keys=["symbol", "window_start"], ts="_mb", seq="_mb")
+
+
+def read_upsert_bars(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """Current (or as-of ``version``) bars of an upsert-mode bar table."""
+    return bar_table(spark, path).snapshot(version).drop("_mb")
 
 
 def stream_sessions(events: DataFrame, keys: list[str], time_col: str, path: str, checkpoint: str,
