@@ -33,7 +33,7 @@ def with_proc_time(df: DataFrame, out: str = "proc_time") -> DataFrame:
 
 
 def to_ntz(col) -> Column:
-    """Zone-free output timestamp (``TIMESTAMP(3)`` in the reference DDL)."""
+    """Zone-free output timestamp (the bar tables declare TIMESTAMP(3) without zone)."""
     return _c(col).cast("timestamp_ntz")
 
 

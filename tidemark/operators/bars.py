@@ -75,7 +75,7 @@ def sliding_counts(trades: DataFrame, size: str = "2 minutes", slide: str = "1 m
                    time_col: str = "event_time") -> DataFrame:
     """HOP window: every row falls in size/slide overlapping windows.
 
-    Note the argument order: the reference's HOP takes (slide, size), Spark's
+    Note the argument order: a SQL HOP table function takes (slide, size), Spark's
     ``window`` takes (size, slide).
     """
     return window_counts(trades, size, slide, time_col)

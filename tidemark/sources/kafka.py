@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..streaming.pipeline import trade_stream
 from .messages import good_trades, message_envelope, parse_trades
 
-# The reference's start positions and how Spark names them.
+# The start positions a trade stream may begin from, as Spark names them.
 STARTING_OFFSETS = {"earliest": "earliest", "latest": "latest"}
 
 
