@@ -149,3 +149,20 @@ def test_prefix_scan_matches_running_max(spark):
     for k, o, v in sorted(rows):
         assert got[(k, o)] == best.get(k)
         best[k] = max(best.get(k, v), v)
+
+
+# ------------------------------------------------------------------ running summary with 24 h expiry
+def test_running_summary_state_expires_after_idle_day(spark, tmp_root):
+    day = 86_400_000
+    batches = [[0, 3_600_000], [day + 3_600_000 - 1], [3 * day], [5 * day]]
+    inp, out, ckpt = f"{tmp_root}/in", f"{tmp_root}/out", f"{tmp_root}/ckpt"
+    seq = itertools.count()
+    for batch in batches:
+        rows = [(0, next(seq), "A", f'{{"symbol":"A","ts":{T0 + ms},"price":1.0,"qty":2.0,"side":"BUY"}}')
+                for ms in batch]
+        spark.createDataFrame(rows, sp.ENVELOPE_SCHEMA).coalesce(1).write.mode("append").json(inp)
+        trades = sp.trade_stream(sp.message_stream(spark, inp))
+        sp.stream_sessions(trades, ["symbol"], "event_time", out, ckpt, "24 hours", sum_cols=("qty",))
+    got = sorted((r.event_count, r.qty) for r in spark.read.parquet(out).collect())
+    # first state: 3 trades within 24 h of each other; second: the trade at day 3 (closed by day 5)
+    assert got == [(1, 2.0), (3, 6.0)]

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exact import exact_sum
 from ..functions.time import to_ntz
 from ..operators.bars import bar_aggregates
 from ..plans.versioned import VersionedTable
@@ -145,12 +146,17 @@ def read_upsert_bars(spark: SparkSession, path: str, version: int | None = None)
 
 
 def stream_sessions(events: DataFrame, keys: list[str], time_col: str, path: str, checkpoint: str,
-                    gap: str = "5 minutes", trigger: str | None = None):
-    """Session windows in append mode: a session is written once it is closed."""
+                    gap: str = "5 minutes", trigger: str | None = None, sum_cols: tuple[str, ...] = ()):
+    """Session windows in append mode: a session is written once it is closed.
+
+    With a long gap this is also a running summary with state expiry: a
+    key's state lives while events keep coming and is emitted and dropped
+    once the watermark passes last event + gap (e.g. 24 h idle).
+    """
     g = (events.groupBy(*keys, F.session_window(time_col, gap).alias("s"))
-         .agg(F.count(F.lit(1)).alias("event_count")))
+         .agg(F.count(F.lit(1)).alias("event_count"), *[exact_sum(c).alias(c) for c in sum_cols]))
     out = g.select(*keys, to_ntz("s.start").alias("session_start"),
-                   to_ntz("s.end").alias("session_end"), "event_count")
+                   to_ntz("s.end").alias("session_end"), "event_count", *sum_cols)
     w = (out.writeStream.format("parquet").option("path", path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     return run(w, trigger)
