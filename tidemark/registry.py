@@ -51,17 +51,17 @@ def _out_trades(df: DataFrame) -> DataFrame:
     return df.select("symbol", "ts", "price", "qty", "side", to_ntz("event_time").alias("event_time"))
 
 
-def W(body: str, ctes: str = "") -> str:
+def with_trades(body: str, ctes: str = "") -> str:
     """Prefix the shared trades CTE (and any further CTEs) to a query."""
     more = f",\n{ctes}" if ctes else ""
     return f"WITH {TRADES_SQL}{more}\n{body}"
 
 
 # ---------------------------------------------------------------- step 0
-register("project_trades", W("SELECT symbol, ts, price, qty, side, event_time FROM trades"))(
+register("project_trades", with_trades("SELECT symbol, ts, price, qty, side, event_time FROM trades"))(
     lambda s, sf: _out_trades(project_trades(_trades(s, sf))))
 
-register("with_event_time", W("SELECT seq, ts, event_time FROM trades"))(
+register("with_event_time", with_trades("SELECT seq, ts, event_time FROM trades"))(
     lambda s, sf: _trades(s, sf).select("seq", "ts", to_ntz("event_time").alias("event_time")))
 
 # ---------------------------------------------------------------- step 1: bars
@@ -81,52 +81,52 @@ FROM trades
 WHERE event_time IS NOT NULL
 GROUP BY symbol, date_trunc('{unit}', event_time)"""
 
-register("ohlcv_bars_1m", W(_BAR_SQL.format(unit="minute")))(
+register("ohlcv_bars_1m", with_trades(_BAR_SQL.format(unit="minute")))(
     lambda s, sf: ops.ohlcv_bars(_trades(s, sf), "1 minute"))
-register("ohlcv_bars_1h", W(_BAR_SQL.format(unit="hour")))(
+register("ohlcv_bars_1h", with_trades(_BAR_SQL.format(unit="hour")))(
     lambda s, sf: ops.ohlcv_bars(_trades(s, sf), "1 hour"))
 
-register("first_value", W("SELECT symbol, arg_min(price, (ts, seq)) AS first_price FROM trades GROUP BY symbol"))(
+register("first_value", with_trades("SELECT symbol, arg_min(price, (ts, seq)) AS first_price FROM trades GROUP BY symbol"))(
     lambda s, sf: _trades(s, sf).groupBy("symbol").agg(first_value("price").alias("first_price")))
-register("last_value", W("SELECT symbol, arg_max(price, (ts, seq)) AS last_price FROM trades GROUP BY symbol"))(
+register("last_value", with_trades("SELECT symbol, arg_max(price, (ts, seq)) AS last_price FROM trades GROUP BY symbol"))(
     lambda s, sf: _trades(s, sf).groupBy("symbol").agg(last_value("price").alias("last_price")))
 
 # ---------------------------------------------------------------- step 2: ad-hoc SQL set
-register("count_rows", W("SELECT count(*) AS total_trades FROM trades"))(
+register("count_rows", with_trades("SELECT count(*) AS total_trades FROM trades"))(
     lambda s, sf: ops.count_rows(_trades(s, sf), "total_trades"))
 
-register("count_bars", W(f"SELECT count(*) AS total_windows FROM ({_BAR_SQL.format(unit='minute')})"))(
+register("count_bars", with_trades(f"SELECT count(*) AS total_windows FROM ({_BAR_SQL.format(unit='minute')})"))(
     lambda s, sf: ops.count_rows(ops.ohlcv_bars(_trades(s, sf)), "total_windows"))
 
-register("symbol_summary", W("""
+register("symbol_summary", with_trades("""
 SELECT symbol, count(*) AS trade_count,
        CAST(sum(CAST(qty AS DECIMAL(18,4))) AS DOUBLE) AS total_volume,
        CAST(sum(CAST(price AS DECIMAL(18,4))) AS DOUBLE) / count(price) AS avg_price
 FROM trades GROUP BY symbol"""))(lambda s, sf: ops.symbol_summary(_trades(s, sf)))
 
-register("side_summary", W("""
+register("side_summary", with_trades("""
 SELECT side, count(*) AS trade_count,
        CAST(sum(CAST(qty AS DECIMAL(18,4))) AS DOUBLE) AS total_volume
 FROM trades GROUP BY side"""))(lambda s, sf: ops.side_summary(_trades(s, sf)))
 
-register("recent_trades", W("""
+register("recent_trades", with_trades("""
 SELECT symbol, ts, price, qty, side, event_time FROM trades
 ORDER BY ts DESC, seq DESC LIMIT 10"""))(
     lambda s, sf: _out_trades(ops.recent_trades(_trades(s, sf), 10)))
 
-register("recent_bars", W(f"""
+register("recent_bars", with_trades(f"""
 SELECT * FROM ({_BAR_SQL.format(unit='minute')})
 ORDER BY window_start DESC, symbol LIMIT 10"""))(
     lambda s, sf: ops.recent_bars(ops.ohlcv_bars(_trades(s, sf)), 10))
 
 _OHLCV_COLS = ["symbol", "window_start", "open_price", "high_price", "low_price",
                "close_price", "total_qty", "trade_count"]
-register("recent_ohlcv", W(f"""
+register("recent_ohlcv", with_trades(f"""
 SELECT {', '.join(_OHLCV_COLS)} FROM ({_BAR_SQL.format(unit='minute')})
 ORDER BY window_start DESC, symbol LIMIT 20"""))(
     lambda s, sf: ops.recent_bars(ops.ohlcv_bars(_trades(s, sf)), 20, _OHLCV_COLS))
 
-register("buy_pressure", W(f"""
+register("buy_pressure", with_trades(f"""
 SELECT symbol, window_start, buy_qty, sell_qty,
        (buy_qty / (buy_qty + sell_qty)) * 100 AS buy_pct
 FROM ({_BAR_SQL.format(unit='minute')})
@@ -134,7 +134,7 @@ WHERE buy_qty + sell_qty > 0
 ORDER BY window_start DESC, symbol LIMIT 10"""))(
     lambda s, sf: ops.top_buy_pressure(ops.buy_pressure(ops.ohlcv_bars(_trades(s, sf))), 10))
 
-register("buy_pressure_all", W(f"""
+register("buy_pressure_all", with_trades(f"""
 SELECT symbol, window_start, buy_qty, sell_qty,
        (buy_qty / (buy_qty + sell_qty)) * 100 AS buy_pct
 FROM ({_BAR_SQL.format(unit='hour')})
@@ -159,7 +159,7 @@ register("filter_amount", """
 SELECT event_id AS id, event_type AS name, value AS amount FROM events WHERE value > 50""")(
     lambda s, sf: ops.filter_amount(_datagen_rows(s, sf), 50))
 
-register("time_slice", W("""
+register("time_slice", with_trades("""
 SELECT symbol, ts, price, qty, side, event_time FROM trades
 WHERE event_time >= TIMESTAMP '2024-01-10 00:00:00' AND event_time < TIMESTAMP '2024-01-12 00:00:00'"""))(
     lambda s, sf: _out_trades(ops.time_slice(_trades(s, sf), "2024-01-10 00:00:00", "2024-01-12 00:00:00")))
@@ -168,7 +168,7 @@ WHERE event_time >= TIMESTAMP '2024-01-10 00:00:00' AND event_time < TIMESTAMP '
 register("peek")(lambda s, sf: _out_trades(ops.peek(_trades(s, sf), 5)))
 
 # ---------------------------------------------------------------- step 3: other windows
-register("window_stats", W("""
+register("window_stats", with_trades("""
 SELECT symbol, date_trunc('hour', event_time) AS window_start,
        date_trunc('hour', event_time) + INTERVAL 1 HOUR AS window_end,
        count(*) AS trade_count,
@@ -177,7 +177,7 @@ SELECT symbol, date_trunc('hour', event_time) AS window_start,
 FROM trades GROUP BY symbol, date_trunc('hour', event_time)"""))(
     lambda s, sf: ops.window_stats(_trades(s, sf), "1 hour"))
 
-register("window_counts", W("""
+register("window_counts", with_trades("""
 SELECT symbol, date_trunc('minute', event_time) AS window_start,
        date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS window_end,
        count(*) AS trade_count
@@ -187,7 +187,7 @@ FROM trades GROUP BY symbol, date_trunc('minute', event_time)"""))(
 
 def _sliding_sql(k: int, select: str) -> str:
     """Slide 1 minute, size k minutes: each row joins k window starts."""
-    return W(f"""
+    return with_trades(f"""
 SELECT symbol, window_start, window_start + INTERVAL {k} MINUTE AS window_end, {select}
 FROM m GROUP BY symbol, window_start""", f"""m AS (
   SELECT t.*, date_trunc('minute', event_time) - i * INTERVAL 1 MINUTE AS window_start
@@ -229,7 +229,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type
         load_table(s, sf, "events").withColumn("_ms", F.unix_millis(F.col("ts").cast("timestamp"))),
         ["user_id", "event_type"], "_ms", "event_id").drop("_ms"))
 
-register("upsert_raw_trades", W("""
+register("upsert_raw_trades", with_trades("""
 SELECT symbol, ts, price, qty, side, event_time FROM trades
 QUALIFY row_number() OVER (PARTITION BY symbol, ts ORDER BY seq DESC) = 1"""))(
     lambda s, sf: _out_trades(ops.upsert_by_key(_trades(s, sf), ["symbol", "ts"])))
@@ -276,45 +276,45 @@ def _trade_out(df: DataFrame) -> DataFrame:
     return df.select("symbol", "ts", "price", "qty", "side", "seq", to_ntz("event_time").alias("event_time"))
 
 
-register("write_messages", W(f"""
+register("write_messages", with_trades(f"""
 SELECT {_PART_SQL.format(k='symbol')} AS partition, seq AS offset, symbol AS key, {_VALUE_SQL} AS value
 FROM trades"""))(lambda s, sf: _messages(s, sf))
 
-register("message_envelope", W(f"""
+register("message_envelope", with_trades(f"""
 SELECT {_PART_SQL.format(k='symbol')} AS partition, seq AS offset, symbol AS key, {_VALUE_SQL} AS value
 FROM trades"""))(lambda s, sf: msg.message_envelope(_messages(s, sf)))
 
-register("parse_trades", W("SELECT symbol, ts, price, qty, side, seq, event_time FROM trades"))(
+register("parse_trades", with_trades("SELECT symbol, ts, price, qty, side, seq, event_time FROM trades"))(
     lambda s, sf: _trade_out(msg.good_trades(msg.parse_trades(_messages(s, sf)))))
 
-register("parse_trades_strict", W("SELECT symbol, ts, price, qty, side, seq, event_time FROM trades"))(
+register("parse_trades_strict", with_trades("SELECT symbol, ts, price, qty, side, seq, event_time FROM trades"))(
     lambda s, sf: _trade_out(msg.good_trades(
         msg.parse_trades(_messages(s, sf), mode="strict").withColumn("quarantined", F.lit(False)))))
 
-register("parse_trades_lenient", W("""
+register("parse_trades_lenient", with_trades("""
 SELECT symbol, ts, price, qty, side, seq, event_time FROM trades
 WHERE symbol NOT IN ('error', 'signup')"""))(
     lambda s, sf: _trade_out(msg.good_trades(msg.parse_trades(_mixed_messages(s, sf)))))
 
-register("quarantine", W(f"""
+register("quarantine", with_trades(f"""
 SELECT {_PART_SQL.format(k='symbol')} AS partition, seq AS offset, symbol AS key FROM trades
 WHERE symbol IN ('error', 'signup')"""))(
     lambda s, sf: msg.quarantine(msg.parse_trades(_mixed_messages(s, sf))).drop("value"))
 
-register("round_trade", W("""
+register("round_trade", with_trades("""
 SELECT symbol, ts, round(price, 2) AS price, round(qty, 4) AS qty, side, seq FROM trades"""))(
     lambda s, sf: msg.round_trade(_trades(s, sf)).select("symbol", "ts", "price", "qty", "side", "seq"))
 
-register("clock_label", W("SELECT seq, ts, strftime(event_time, '%H:%M:%S') AS clock FROM trades"))(
+register("clock_label", with_trades("SELECT seq, ts, strftime(event_time, '%H:%M:%S') AS clock FROM trades"))(
     lambda s, sf: _trades(s, sf).select("seq", "ts", clock_label("ts").alias("clock")))
 
 # ---------------------------------------------------------------- step 9: message checks
-register("key_partition_counts", W(f"""
+register("key_partition_counts", with_trades(f"""
 SELECT symbol AS key, {_PART_SQL.format(k='symbol')} AS partition, count(*) AS message_count
 FROM trades GROUP BY 1, 2"""))(
     lambda s, sf: _messages(s, sf).groupBy("key", "partition").agg(F.count(F.lit(1)).alias("message_count")))
 
-register("key_stays_in_partition", W(f"""
+register("key_stays_in_partition", with_trades(f"""
 SELECT symbol AS key, count(DISTINCT {_PART_SQL.format(k='symbol')}) AS n_partitions,
        count(DISTINCT {_PART_SQL.format(k='symbol')}) = 1 AS stays
 FROM trades GROUP BY 1"""))(
@@ -585,7 +585,7 @@ def _read_log(spark, path):
     return _trade_out(spark.read.schema(sp.LOG_SCHEMA).parquet(path))
 
 
-_FINAL_BARS_SQL = W(f"""
+_FINAL_BARS_SQL = with_trades(f"""
 SELECT * FROM ({_BAR_SQL.format(unit='minute')})
 WHERE window_end <= (SELECT max(event_time) FROM trades) - INTERVAL 5 SECOND""")
 
@@ -607,7 +607,7 @@ def _upsert_bars_stream(spark, sf):
     return sp.read_upsert_bars(spark, f"{base}/bars")
 
 
-register("upsert_bars_stream", W(_BAR_SQL.format(unit="minute")))(_upsert_bars_stream)
+register("upsert_bars_stream", with_trades(_BAR_SQL.format(unit="minute")))(_upsert_bars_stream)
 
 
 def _append_log_stream(spark, sf):
@@ -616,7 +616,7 @@ def _append_log_stream(spark, sf):
     return _read_log(spark, f"{base}/log")
 
 
-_LOG_SQL = W("SELECT symbol, ts, price, qty, side, seq, event_time FROM trades")
+_LOG_SQL = with_trades("SELECT symbol, ts, price, qty, side, seq, event_time FROM trades")
 register("append_log_stream", _LOG_SQL)(_append_log_stream)
 
 
@@ -689,7 +689,7 @@ def _multi_sink(spark, sf):
     return raw.unionByName(buys)
 
 
-register("run_multi_sink", W("""
+register("run_multi_sink", with_trades("""
 SELECT 'raw' AS branch, count(*) AS row_count FROM trades
 UNION ALL SELECT 'buys', count(*) FROM trades WHERE side = 'BUY'"""))(_multi_sink)
 
@@ -709,7 +709,7 @@ register("sessions_stream", f"""
 SELECT * FROM ({_SESSIONS_SQL.format(gap='5 MINUTE')})
 WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 5 SECOND""")(_sessions_stream)
 
-register("late_rows", W("""
+register("late_rows", with_trades("""
 SELECT t.symbol, t.ts, t.price, t.qty, t.side, t.seq, t.event_time
 FROM trades t JOIN w ON t.seq // 1000 = w.batch
 WHERE date_trunc('minute', t.event_time) + INTERVAL 1 MINUTE <= w.watermark""", """b AS (
@@ -729,14 +729,14 @@ register("process_time_window")(lambda s, sf: sp.process_time_window(_trades(s,
 
 # ---------------------------------------------------------------- step 9: checks
 
-register("reconcile_bars", W("""
+register("reconcile_bars", with_trades("""
 SELECT symbol, log_count, log_count AS bar_count, log_qty, log_qty AS bar_qty, true AS consistent FROM l""",
                              """l AS (
   SELECT symbol, count(*) AS log_count, CAST(sum(CAST(qty AS DECIMAL(18,4))) AS DOUBLE) AS log_qty
   FROM trades GROUP BY symbol
 )"""))(lambda s, sf: reconcile_bars(_trades(s, sf), ops.ohlcv_bars(_trades(s, sf))))
 
-register("running_summary", W("""
+register("running_summary", with_trades("""
 SELECT symbol, min(event_time) AS session_start, max(event_time) + INTERVAL 24 HOUR AS session_end,
        count(*) AS event_count, CAST(sum(CAST(qty AS DECIMAL(18,4))) AS DOUBLE) AS qty
 FROM g GROUP BY symbol, grp""", """s AS (
@@ -762,7 +762,7 @@ register("table_has_files", "SELECT count(*) > 0 AS has_files FROM (SELECT 1 FRO
     lambda s, sf: table_has_files(_listed_table(s, sf)))
 
 # ---------------------------------------------------------------- ordering, watermark, SQL path
-register("order_within_key", W(f"""
+register("order_within_key", with_trades(f"""
 SELECT partition, key, count(*) AS message_count,
        count(*) FILTER (WHERE ts < prev_max) AS out_of_order
 FROM (SELECT {_PART_SQL.format(k='symbol')} AS partition, symbol AS key, seq, ts,
@@ -773,7 +773,7 @@ GROUP BY partition, key"""))(
     lambda s, sf: late.out_of_order(
         _messages(s, sf).withColumn("ts", F.get_json_object("value", "$.ts").cast("long"))))
 
-register("with_watermark", W("""
+register("with_watermark", with_trades("""
 SELECT batch, max(m) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
               - INTERVAL 5 SECOND AS watermark
 FROM (SELECT seq // 1000 AS batch, max(event_time) AS m FROM trades GROUP BY 1)"""))(
