@@ -27,18 +27,39 @@ BASE_CONF = {
 }
 
 
+# Settings for a large cluster (100 TB input, ~1000 executors).  Shuffle
+# partitions start high and AQE coalesces them to ~256 MB; scans split at
+# 512 MB; skewed join partitions over 256 MB and 5x the median are split.
+# The broadcast threshold is explicit: only sides measured under it are
+# broadcast (AQE uses runtime sizes).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 ROCKSDB_STATE = {"spark.sql.streaming.stateStore.providerClass":
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
 def get_session(master: str | None = None, app: str = "tidemark",
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None, rocksdb_state: bool = False) -> SparkSession:
+                extra: dict | None = None, rocksdb_state: bool = False,
+                cluster: bool = False) -> SparkSession:
     """``rocksdb_state`` keeps streaming state off the JVM heap: use it when
     keyed state is large (sessions over many users).  For bar state
     (symbols x open windows) the default in-memory store measured faster.
     It must be chosen before a query's first run; a checkpoint keeps it."""
     builder = SparkSession.builder.appName(app)
+    if cluster:
+        for k, v in CLUSTER_CONF.items():
+            builder = builder.config(k, v)
     if rocksdb_state:
         for k, v in ROCKSDB_STATE.items():
             builder = builder.config(k, v)
