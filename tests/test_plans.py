@@ -51,3 +51,23 @@ def test_upsert_combines_before_shuffle(spark):
 def test_recent_trades_is_top_k(spark):
     p = plan(QUERIES["recent_trades"](spark, SF01))
     assert "TakeOrderedAndProject" in p
+
+
+def test_cluster_settings_keep_results(spark):
+    """The cluster preset only changes sizing, never answers."""
+    from oracle_compare import compare, duck
+    from tidemark.session import CLUSTER_CONF
+    old = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    try:
+        for k, v in CLUSTER_CONF.items():
+            spark.conf.set(k, v)
+        con = duck(SF01)
+        for name in ("ohlcv_bars_1m", "sessions", "upsert_by_key", "snapshot_diff"):
+            r = compare(spark, name, SF01, con)
+            assert r["ok"], r
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
