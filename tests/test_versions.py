@@ -52,6 +52,12 @@ def test_evolved_schema(spark, tmp_root):
     assert got == [(1, "A", 7, None), (2, "B", 8, "X"), (3, "C", 2**40, "Y")]
     with pytest.raises(ValueError):
         vt.widen_type("symbol", "int")
+    with pytest.raises(ValueError):
+        vt.rename_column("nope", "x")
+    with pytest.raises(ValueError):
+        vt.rename_column("symbol", "n")
+    with pytest.raises(ValueError):
+        vt.drop_column("nope")
     vt.drop_column("venue")
     vt.reorder_columns(["symbol", "id"])
     assert vt.snapshot().columns == ["symbol", "id", "n"]

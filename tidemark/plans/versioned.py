@@ -161,7 +161,10 @@ class VersionedTable:
                 return done[0]
         schema = self._data_schema(df, evolve)
         version = (log[-1].version + 1) if log else 1
-        cols = [f.name for f in schema.fields if f.name in df.columns]
+        # Rows take the table's declared types, so all files of one schema
+        # epoch share physical types (a failing cast is a schema violation).
+        cols = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
+                for f in schema.fields if f.name in df.columns]
         df.select(*cols).write.mode("overwrite").parquet(f"{self.data_path}/batch_id={version}")
         return self._append_commit(operation="append", batch_id=version, committed_at=committed_at,
                                    schema_json=schema.json(), token=token)
@@ -221,29 +224,40 @@ class VersionedTable:
         cur = self.schema()
         if name in cur.fieldNames():
             raise ValueError(f"column {name} exists")
-        f = T.StructField(name, T._parse_datatype_string(dtype), True, {"field_id": _max_id(cur) + 1})
+        f = T.StructField(name, T.DataType.fromDDL(dtype), True, {"field_id": _max_id(cur) + 1})
         return self._schema_commit(T.StructType(cur.fields + [f]), "add_column", committed_at)
 
-    def drop_column(self, name: str, committed_at=None) -> int:
+    def _require(self, name: str) -> T.StructType:
         cur = self.schema()
+        if name not in cur.fieldNames():
+            raise ValueError(f"no column {name}")
+        return cur
+
+    def drop_column(self, name: str, committed_at=None) -> int:
+        cur = self._require(name)
         return self._schema_commit(T.StructType([f for f in cur.fields if f.name != name]),
                                    "drop_column", committed_at)
 
     def rename_column(self, old: str, new: str, committed_at=None) -> int:
-        cur = self.schema()
+        cur = self._require(old)
+        if new in cur.fieldNames():
+            raise ValueError(f"column {new} exists")
         fields = [T.StructField(new, f.dataType, True, f.metadata) if f.name == old else f
                   for f in cur.fields]
         return self._schema_commit(T.StructType(fields), "rename_column", committed_at)
 
     def reorder_columns(self, order: list[str], committed_at=None) -> int:
         cur = {f.name: f for f in self.schema().fields}
+        missing = [n for n in order if n not in cur]
+        if missing:
+            raise ValueError(f"no columns {missing}")
         rest = [n for n in cur if n not in order]
         return self._schema_commit(T.StructType([cur[n] for n in order + rest]),
                                    "reorder_columns", committed_at)
 
     def widen_type(self, name: str, dtype: str, committed_at=None) -> int:
-        cur = self.schema()
-        new_t = T._parse_datatype_string(dtype)
+        cur = self._require(name)
+        new_t = T.DataType.fromDDL(dtype)
         fields = []
         for f in cur.fields:
             if f.name == name:
