@@ -166,3 +166,14 @@ def test_running_summary_state_expires_after_idle_day(spark, tmp_root):
     got = sorted((r.event_count, r.qty) for r in spark.read.parquet(out).collect())
     # first state: 3 trades within 24 h of each other; second: the trade at day 3 (closed by day 5)
     assert got == [(1, 2.0), (3, 6.0)]
+
+
+def test_strict_stream_fails_lenient_stream_skips(spark, tmp_root):
+    rows = [(0, 0, "A", '{"symbol":"A","ts":1,"price":1.0,"qty":1.0,"side":"BUY"}'), (0, 1, "A", "not json")]
+    spark.createDataFrame(rows, sp.ENVELOPE_SCHEMA).coalesce(1).write.json(f"{tmp_root}/in")
+    sp.append_log(sp.trade_stream(sp.message_stream(spark, f"{tmp_root}/in"), None),
+                  f"{tmp_root}/ok", f"{tmp_root}/ck1")
+    assert spark.read.parquet(f"{tmp_root}/ok").count() == 1
+    with pytest.raises(Exception):
+        sp.append_log(sp.trade_stream(sp.message_stream(spark, f"{tmp_root}/in"), None, "strict"),
+                      f"{tmp_root}/bad", f"{tmp_root}/ck2")

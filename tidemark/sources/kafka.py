@@ -37,13 +37,7 @@ def read_trade_stream(spark: SparkSession, topic: str, servers: str, start: str
     """Topic -> parsed trades with event time and watermark (streaming)."""
     raw = spark.readStream.format("kafka").options(
         **kafka_source_options(topic, servers, start, group_id)).load()
-    msgs = message_envelope(raw)
-    if mode == "lenient":
-        return trade_stream(msgs, lateness)
-    t = parse_trades(msgs, mode="strict")
-    from ..functions.time import event_time
-    t = t.withColumnRenamed("offset", "seq").withColumn("event_time", event_time("ts"))
-    return t.withWatermark("event_time", lateness) if lateness else t
+    return trade_stream(message_envelope(raw), lateness, mode)
 
 
 def read_trade_batch(spark: SparkSession, topic: str, servers: str) -> DataFrame:

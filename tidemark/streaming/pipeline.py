@@ -62,9 +62,14 @@ def message_stream(spark: SparkSession, path: str, max_files: int | None = None)
     return r.json(path)
 
 
-def trade_stream(messages: DataFrame, lateness: str | None = "5 seconds") -> DataFrame:
-    """Lenient parse, offset as seq, event-time watermark (TIMESTAMP, not NTZ)."""
-    t = good_trades(parse_trades(messages))
+def trade_stream(messages: DataFrame, lateness: str | None = "5 seconds",
+                 mode: str = "lenient") -> DataFrame:
+    """Parse (lenient: bad rows skipped; strict: the query fails on one),
+    offset as seq, event-time watermark (on TIMESTAMP, not NTZ)."""
+    parsed = parse_trades(messages, mode=mode)
+    if mode == "strict":
+        parsed = parsed.withColumn("quarantined", F.lit(False))
+    t = good_trades(parsed)
     return t.withWatermark("event_time", lateness) if lateness else t
 
 
