@@ -9,7 +9,7 @@ import pytest
 from tidemark import operators as ops
 from tidemark.functions.time import event_time
 from tidemark.sources.messages import good_trades, parse_trades, quarantine
-from tidemark.streaming import pipeline as sp
+from tidemark.streaming import jobs as sp
 from tidemark.streaming.lateness import late_rows
 
 T0 = 1_704_103_200_000  # 2024-01-01 10:00:00 UTC in epoch ms

@@ -6,7 +6,7 @@ from conftest import SF001
 from tidemark import operators as ops
 from tidemark.sources.messages import to_messages
 from tidemark.sources.trades import load_trades
-from tidemark.streaming import pipeline as sp
+from tidemark.streaming import jobs as sp
 
 
 def _replay_files(spark, root, chunks=4):

@@ -25,7 +25,7 @@ from .sources.objects import list_objects, table_has_files
 from .sources.tables import load_table
 from .sources.trades import TRADES_SQL, load_trades, project_trades
 from .streaming import lateness as late
-from .streaming import pipeline as sp
+from .streaming import jobs as sp
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -2,14 +2,14 @@
 
 The Kafka connector jar is not part of this environment, so these builders
 are covered by option tests only; the same parsing runs in every test over
-file-backed message streams (``streaming.pipeline.message_stream``).
+file-backed message streams (``streaming.jobs.message_stream``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..streaming.pipeline import trade_stream
+from ..streaming.jobs import trade_stream
 from .messages import good_trades, message_envelope, parse_trades
 
 # The start positions a trade stream may begin from, as Spark names them.
