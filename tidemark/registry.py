@@ -895,3 +895,25 @@ def _compacted(spark, sf):
 
 
 register("compact_table", _latest_sql("true"))(_compacted)
+
+
+# ---------------------------------------------------------------- hot keys on the real data
+# Five symbols carry all trades (about 20% each): every key is a hot key.
+register("latest_trade_per_symbol", with_trades("""
+SELECT symbol, ts, price, qty, side, event_time FROM trades
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts DESC, seq DESC) = 1"""))(
+    lambda s, sf: _out_trades(ops.upsert_by_key(_trades(s, sf), ["symbol"])))
+
+register("symbol_sessions", with_trades("""
+SELECT symbol, min(event_time) AS session_start, max(event_time) + INTERVAL 1 MINUTE AS session_end,
+       count(*) AS event_count, CAST(sum(CAST(qty AS DECIMAL(18,4))) AS DOUBLE) AS qty
+FROM g GROUP BY symbol, grp""", """s AS (
+  SELECT symbol, event_time, qty,
+         CASE WHEN lag(event_time) OVER w IS NULL OR event_time - lag(event_time) OVER w > INTERVAL 1 MINUTE
+              THEN 1 ELSE 0 END AS new_session
+  FROM trades WINDOW w AS (PARTITION BY symbol ORDER BY event_time)
+), g AS (
+  SELECT *, sum(new_session) OVER (PARTITION BY symbol ORDER BY event_time
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM s
+)"""))(
+    lambda s, sf: ops.sessions(_trades(s, sf), ["symbol"], "event_time", "1 minute", ("qty",), "1 hour"))
