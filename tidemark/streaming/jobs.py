@@ -130,9 +130,13 @@ def stream_bars(trades: DataFrame, path: str, checkpoint: str, size: str = "1 mi
         table = bar_table(trades.sparkSession, path)
 
         def write_batch(df: DataFrame, batch_id: int) -> None:
-            if df.isEmpty():  # watermark-only micro-batch: nothing changed
-                return
-            table.commit(df.withColumn("_mb", F.lit(batch_id).cast("long")), token=f"bars:{batch_id}")
+            df.persist()  # used twice below: compute the micro-batch once
+            try:
+                if df.isEmpty():  # watermark-only micro-batch: nothing changed
+                    return
+                table.commit(df.withColumn("_mb", F.lit(batch_id).cast("long")), token=f"bars:{batch_id}")
+            finally:
+                df.unpersist()
         w = (bars.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint).outputMode("update"))
         return run(w, trigger)
