@@ -10,9 +10,8 @@ as well as the number of documents.
 The place in the order comes from counts, not from one long sort: documents are
 counted by (source, size, slot), slots being ranges of the md5, the counts are
 summed up within the source, and only documents of one slot are numbered by a
-window.  The number of slots follows the largest (source, size) group, so a
-source, or one text copied a billion times, is spread over as many windows as it
-needs.
+window.  Slots are cut as a (source, size) group needs, so a source, or one text
+copied a billion times, is spread over as many windows as it takes.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import WORD_PATTERN, saved
 
-SLOT = 1 << 16
+SLOT = 1 << 11
 HEX = 7
 CEILING = 3
 WEIGHTS = 3
@@ -87,9 +86,12 @@ def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", source_col:
     held = saved(held, "mix")
     groups = held.groupBy("source", "size").agg(F.count("*").alias("n"))
     sizes = groups.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    most = groups.agg(F.max("n")).first()[0] or 0
-    slots = 1 + most // SLOT
-    held = held.withColumn("slot", (F.conv(F.substring("spot", 1, HEX), 16, 10).cast("long") * slots / F.lit(16**HEX)).cast("long"))
+    # Only groups of more than SLOT documents are cut: at most rows / SLOT of them, and so many slots more.
+    wide = groups.where(F.col("n") > SLOT).select(
+        F.col("source").alias("w_source"), F.col("size").alias("w_size"), (1 + F.floor(F.col("n") / SLOT)).alias("slots"))
+    share = F.conv(F.substring("spot", 1, HEX), 16, 10).cast("long") * F.coalesce("slots", F.lit(1)) / F.lit(16**HEX)
+    held = held.join(wide, held["source"].eqNullSafe(wide["w_source"]) & (held["size"] == wide["w_size"]), "left").withColumn(
+        "slot", share.cast("long")).drop("w_source", "w_size", "slots")
     order = Window.partitionBy("source").orderBy("size", "slot").rowsBetween(Window.unboundedPreceding, -1)
     counts = (held.groupBy("source", "size", "slot").agg(F.count("*").alias("n"))
               .withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
