@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.session import scratch_path
@@ -14,8 +14,8 @@ HASH_CHUNK = 1 << 21
 
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(WHITE_SPACE)] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _BYTE_VALUES = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX_A = np.uint64(0xFF51AFD7ED558CCD)
@@ -63,7 +63,7 @@ def as_bytes(texts: list, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(b" ".join(parts) + b" ", dtype=np.uint8)
     sizes = np.fromiter((len(p) + 1 for p in parts), dtype=np.int64, count=len(parts))
     begins = np.concatenate([[0], np.cumsum(sizes)])[: len(parts)]
-    return (_LOWER[data] if lower else data), begins
+    return (LOWER[data] if lower else data), begins
 
 
 def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,3 +139,33 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         small = (large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).distinct())
         e = saved(small, f"{name}-round")
+
+
+def crc_remainder(column: str, divisor: int):
+    """crc32 of the value as text, modulo ``divisor`` (a null counts as empty text)."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+def bounded_sample(rows: DataFrame, group: str, text: str, most: int) -> DataFrame:
+    """At most ``most`` distinct texts of each group: those with the smallest hashes, one row for each.
+
+    The cut-off comes from hashes alone, so texts move only if they are chosen,
+    and copies of one text count once.
+    """
+    hashed = rows.withColumn("h", F.xxhash64(text))
+    order = Window.partitionBy(group).orderBy("h")
+    cuts = (hashed.select(group, "h").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= most)
+            .groupBy(F.col(group).alias("g")).agg(F.max("h").alias("cut")))
+    return hashed.join(cuts, F.col(group) == F.col("g")).where(F.col("h") <= F.col("cut")).dropDuplicates([group, "h"]).drop("h", "g", "cut")
+
+
+def chunks(texts: list, limit: int):
+    """(from, to) ranges of texts of about ``limit`` characters; a longer text stands alone."""
+    at = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t or "") > limit:
+            yield at, i
+            at, size = i, 0
+        size += len(t or "")
+    if at < len(texts):
+        yield at, len(texts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import embedding_dedup, exact_topk, mixing, packing, simhash, url_filter
+from tidemark.llm import embedding_dedup, exact_topk, language_id, mixing, packing, simhash, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"), folds=5)
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(_table(spark, sf_dir, "embeddings"), k=5, scale=256.0, every=50)
 
@@ -38,8 +42,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer, end_id=2, window=4096, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_mixing, op3_url_filter, op5_exact_topk, op6_simhash,
-                                  op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_mixing, op3_url_filter, op4_language_id, op5_exact_topk, op6_simhash, op9_packing)}
 
 ORACLE = {
     "op1_embedding_dedup": """
