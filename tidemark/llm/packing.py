@@ -18,6 +18,7 @@ frequent, is gathered in one task.
 
 from __future__ import annotations
 
+import itertools
 import os
 import zlib
 
@@ -27,13 +28,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import as_bytes, extended, saved, word_hashes, words_of
+from tidemark.llm.common import LOWER, as_bytes, chunks, extended, saved, word_hashes, words_of
 
 WINDOW = 4096
 TRIPLE_LENGTHS = 256
 ROUNDS = 300
 TEXT_CHUNK = 1 << 21
-CACHE = 500_000
+CACHE = 1_500_000
+PUNCTUATION = np.isin(np.arange(256), list(b"!\"#$%&()*+,-./:;=?@[]^_`{}~"))  # neither apostrophes nor < | >
+ALNUM = np.array([chr(i).isalnum() and i < 128 for i in range(256)])
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs a task on each core
 
@@ -43,8 +46,10 @@ _TOKENIZERS: dict[str, "_Words"] = {}
 class _Words:
     """Tokenises texts word by word, each distinct word once.
 
-    The tokenizer drops white space and never joins what it separates, so a
-    text's ids are its words' ids in order.  Words are known by a 64-bit hash.
+    The tokenizer lower-cases, drops white space and never joins what it
+    separates, so a text's ids are its words' ids in order.  ASCII punctuation at
+    the end of a word is a token run of its own there, so it is split off first:
+    far fewer distinct words remain.  Words are known by a 64-bit hash.
     """
 
     def __init__(self, path: str):
@@ -58,16 +63,23 @@ class _Words:
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
         data, begins = as_bytes(texts, lower=False)
+        if b"<|" not in data.tobytes():  # else a lower-cased word could become a special token
+            data = LOWER[data]
         starts, ends = words_of(data)
-        hashes = word_hashes(data, starts, ends)
-        unique, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        core = np.maximum.accumulate(np.where(PUNCTUATION[data], -1, np.arange(len(data))))[ends - 1] if len(ends) else ends
+        split = core[(core >= starts) & (core < ends - 1)] + 1
+        split = split[ALNUM[data[split - 1]]]
+        starts, ends = np.sort(np.concatenate([starts, split])), np.sort(np.concatenate([ends, split]))
+        unique, where, inverse = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
         if len(self.keys) + len(unique) > CACHE:
             self.forget()
-        fresh = ~np.isin(unique, self.keys)
+        at = np.searchsorted(self.keys, unique)
+        fresh = at == len(self.keys)
+        fresh[~fresh] = self.keys[at[~fresh]] != unique[~fresh]
         if fresh.any():
             raw = data.tobytes()
-            self._learn(unique[fresh], [raw[starts[i]: ends[i]].decode() for i in where[fresh]])
-        at = np.searchsorted(self.keys, unique)[inverse] if len(unique) else np.empty(0, np.int64)
+            self._learn(unique[fresh], at[fresh], [raw[starts[i]: ends[i]].decode() for i in where[fresh]])
+        at = np.searchsorted(self.keys, unique)[inverse]
         size = self.size[at]
         total = np.cumsum(size)
         flat = self.flat[np.repeat(self.first[at] - (total - size), size) + np.arange(int(total[-1]) if len(total) else 0)]
@@ -75,27 +87,13 @@ class _Words:
         cut = np.concatenate([[0], total])[word]
         return [flat[a:b] for a, b in zip(cut[:-1], cut[1:])]
 
-    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+    def _learn(self, keys: np.ndarray, at: np.ndarray, words: list[str]) -> None:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
-        first = len(self.flat) + np.cumsum(size) - size
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))])
-        order = np.argsort(np.concatenate([self.keys, keys]), kind="stable")
-        self.keys = np.concatenate([self.keys, keys])[order]
-        self.first = np.concatenate([self.first, first])[order]
-        self.size = np.concatenate([self.size, size])[order]
-
-
-def chunks(texts: list, limit: int):
-    """(from, to) ranges of texts of about ``limit`` characters; a longer text stands alone."""
-    at = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t or "") > limit:
-            yield at, i
-            at, size = i, 0
-        size += len(t or "")
-    if at < len(texts):
-        yield at, len(texts)
+        self.first = np.insert(self.first, at, len(self.flat) + np.cumsum(size) - size)
+        self.size = np.insert(self.size, at, size)
+        self.keys = np.insert(self.keys, at, keys)
+        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum()))])
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, id_col: str = "doc_id",
