@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import embedding_dedup, exact_topk, language_id, mixing, packing, simhash, url_filter
+from tidemark.llm import embedding_dedup, exact_topk, language_id, mixing, packing, simhash, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,7 +42,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer, end_id=2, window=4096, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_mixing, op3_url_filter, op4_language_id, op5_exact_topk, op6_simhash, op9_packing)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), folds=4, held_fold=2)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_mixing, op3_url_filter, op4_language_id, op5_exact_topk, op6_simhash, op9_packing,
+                                  op10_toxicity)}
 
 ORACLE = {
     "op1_embedding_dedup": """
