@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import embedding_dedup, exact_topk, language_id, mixing, packing, simhash, toxicity, url_filter
+from tidemark.llm import embedding_dedup, exact_topk, language_id, lm_score, mixing, packing, simhash, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4, radius=4)
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(_table(spark, sf_dir, "documents"), folds=7, held_fold=2)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer, end_id=2, window=4096, with_ids=False)
@@ -47,7 +51,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_mixing, op3_url_filter, op4_language_id, op5_exact_topk, op6_simhash, op9_packing,
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_mixing, op3_url_filter, op4_language_id, op5_exact_topk, op6_simhash, op7_lm_score, op9_packing,
                                   op10_toxicity)}
 
 ORACLE = {
