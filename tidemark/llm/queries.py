@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import embedding_dedup, exact_topk, language_id, lm_score, mixing, packing, simhash, toxicity, url_filter
+from tidemark.llm import embedding_dedup, exact_topk, language_id, license_scan, lm_score, mixing, packing, simhash, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,12 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(_table(spark, sf_dir, "documents"), folds=7, held_fold=2)
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.size("sentence_ids").alias("n_sentences"), F.array_join("sentence_ids", ",").alias("sentence_ids"),
+                        F.array_join("licences", ",").alias("licences"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer, end_id=2, window=4096, with_ids=False)
@@ -51,10 +57,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_mixing, op3_url_filter, op4_language_id, op5_exact_topk, op6_simhash, op7_lm_score, op9_packing,
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_mixing, op3_url_filter, op4_language_id, op5_exact_topk, op6_simhash, op7_lm_score, op8_license_scan, op9_packing,
                                   op10_toxicity)}
 
 ORACLE = {
+    # The given texts hold each licence sentence on a line of its own; the SQL reads lines.
+    "op8_license_scan": """
+        WITH line AS (SELECT doc_id, generate_subscripts(l, 1) AS k, lower(trim(unnest(l))) AS s
+                      FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+        hit AS (SELECT doc_id, k, CASE
+                  WHEN regexp_full_match(s, 'licensed under the apache license, version 2\\.0\\.?') THEN 'apache-2-line'
+                  WHEN regexp_full_match(s, 'released under the mit license\\.?') THEN 'mit-line'
+                  WHEN regexp_full_match(s, 'this work is licensed under the gnu general public license, version 3\\.?') THEN 'gpl-3-line'
+                  WHEN regexp_full_match(s, 'licensed under cc by-nc 4\\.0\\.?') THEN 'cc-by-nc-4-line'
+                  WHEN regexp_full_match(s, 'all rights reserved\\.?') THEN 'reserved' END AS name FROM line),
+        named AS (SELECT doc_id, k, name, CASE name WHEN 'apache-2-line' THEN 'Apache-2.0' WHEN 'mit-line' THEN 'MIT'
+                  WHEN 'gpl-3-line' THEN 'GPL-3.0-only' WHEN 'cc-by-nc-4-line' THEN 'CC-BY-NC-4.0'
+                  WHEN 'reserved' THEN 'proprietary' END AS licence FROM hit WHERE name IS NOT NULL)
+        SELECT d.doc_id, count(n.name)::INTEGER AS n_sentences, coalesce(string_agg(n.name, ',' ORDER BY n.k), '') AS sentence_ids,
+               coalesce(string_agg(n.licence, ',' ORDER BY n.k), '') AS licences
+        FROM documents d LEFT JOIN named n ON n.doc_id = d.doc_id GROUP BY d.doc_id""",
     "op1_embedding_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
         link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
