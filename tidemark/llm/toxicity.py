@@ -2,7 +2,7 @@
 
 Terms are words and the 5- and 6-byte n-grams of words (a leading blank marks the
 word's start).  A bounded, class-balanced sample of labelled texts chooses the
-terms that go with either label by a chi-square test; their document frequencies
+terms that go with the toxic label by a chi-square test; their document frequencies
 are counted over all documents.  The distinct term vectors of labelled documents
 are the examples; they carry how many toxic and clean documents they stand for.
 
@@ -71,7 +71,7 @@ def _distinct(owner: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def choose_terms(sample: DataFrame) -> np.ndarray:
-    """Hashes of the terms that go with a label, from (text, toxic); at most ``TERMS``."""
+    """Hashes of the terms that go with the toxic label, from (text, toxic); at most ``TERMS``."""
     def count(batches):
         for whole in batches:
             texts, toxic = whole.column("text").to_pylist(), whole.column("toxic").to_numpy(zero_copy_only=False)
@@ -90,7 +90,7 @@ def choose_terms(sample: DataFrame) -> np.ndarray:
         F.sum("pos").alias("a"), F.sum("n").alias("k"))
     a, k = F.col("a").cast("double"), F.col("k").cast("double")
     chi = F.lit(float(n)) * F.pow(a * n - k * p, 2) / (k * (n - k) * F.lit(float(p)) * (n - p))
-    rows = (counts.where((F.col("k") < n) & (F.col("k") >= LEAST_TEXTS)).withColumn("chi", chi).where(F.col("chi") >= CHI_SQUARE)
+    rows = (counts.where((F.col("k") < n) & (F.col("k") >= LEAST_TEXTS) & (a * n > k * p)).withColumn("chi", chi).where(F.col("chi") >= CHI_SQUARE)
             .orderBy(F.desc("chi"), "term").limit(TERMS).select("term").toArrow())
     return np.sort(rows.column("term").to_numpy().view(np.uint64))
 
@@ -123,6 +123,18 @@ def with_terms(docs: DataFrame, chosen: np.ndarray, keep: list[str]) -> DataFram
     return docs.select(*keep, "text").mapInArrow(run, extended(docs.select(*keep).schema, "ids array<int>, counts array<int>"))
 
 
+def _frequencies(found: DataFrame, size: int) -> DataFrame:
+    """(t, n): the number of rows that each term stands in, summed up within a partition first."""
+    def count(batches):
+        df = np.zeros(size, np.int64)
+        for b in batches:
+            df += np.bincount(b.column("ids").flatten().to_numpy(), minlength=size)
+        t = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(df[t])], names=["t", "n"])
+
+    return found.select("ids").mapInArrow(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n"))
+
+
 class Index:
     """Block-max inverted index of weighted examples."""
 
@@ -212,8 +224,8 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold: int = 2
     found = saved(with_terms(held, chosen, keep), "toxicity-terms")
     n = found.count()
     df = np.zeros(len(chosen), np.int64)
-    for r in found.select(F.explode("ids").alias("t")).groupBy("t").count().collect():  # one row for each chosen term
-        df[r["t"]] = r["count"]
+    for r in _frequencies(found, len(chosen)).collect():  # one row for each chosen term
+        df[r["t"]] = r["n"]
     idf = np.log((1 + n) / (1 + df)) + 1
     labelled = found.select("id", "ids", "counts").join(learnt, F.col("id") == F.col("of"))
     total, toxic, bare, bare_toxic = (v or 0 for v in labelled.agg(
