@@ -10,14 +10,16 @@ words as 64-bit hashes.  A block sends each distinct pair once, with its count,
 to the pair's bucket; the bucket adds the counts up and sends each block the
 totals of its own pairs, in the order they came.  Words go the same way.  So a
 block ends up with exactly the part of the automaton that its documents can
-visit, and no task ever holds the model.  A frequent word's pairs are spread over
-``SPREAD`` buckets, and the number of buckets follows the number of tokens.
+visit, and no task ever holds the model.  The number of buckets follows the
+number of tokens; pairs are dealt by their left word, those of a word that would
+fill a bucket alone by both words.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,14 +27,13 @@ from tidemark.llm.common import as_bytes, chunks, crc_remainder, extended, mixed
 
 BLOCK_TEXT = 8 << 20
 TEXT_CHUNK = 1 << 21
-BUCKET_TOKENS = 4_000_000
-SPREAD = np.uint64(16)
+BUCKET_TOKENS = 1_000_000
 START, END = np.uint64(1), np.uint64(2)
 _K = np.uint64(0x9FB21C651E98DF25)
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """(block, ids, held, sizes, words, tokens): sorted distinct word hashes and the documents' places in them, end included."""
+    """(block, ids, held, sizes, words, tokens): distinct word hashes and the documents' places in them, ends included."""
     def run(batches):
         context = TaskContext.get()
         key, text, held, count = (context.partitionId() if context else 0) << 32, 0, [], 0
@@ -40,11 +41,15 @@ def _blocks(docs: DataFrame) -> DataFrame:
         def block():
             ids = pa.concat_arrays([h[0] for h in held])
             sizes = np.concatenate([h[2] for h in held])
-            words, tokens = np.unique(np.concatenate([h[3] for h in held]), return_inverse=True)
+            words, tokens, often = np.unique(np.concatenate([h[3] for h in held]), return_inverse=True, return_counts=True)
+            order = np.argsort(-often, kind="stable")  # small numbers for frequent words
+            place = np.empty_like(order)
+            place[order] = np.arange(len(order))
+            words, tokens = words[order], place[tokens]
             return pa.RecordBatch.from_arrays(
                 [pa.array([key + count], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                  pa.array([np.concatenate([h[1] for h in held]).tolist()], pa.list_(pa.bool_())), pa.array([sizes.tolist()], pa.list_(pa.int32())),
-                 pa.array([words.tobytes()], pa.binary()), pa.array([tokens.astype(np.uint32).tobytes()], pa.binary()), pa.array([int(sizes.sum())], pa.int64())],
+                 pa.array([words.tobytes()], pa.binary()), pa.array([_squeezed(tokens)], pa.binary()), pa.array([int(sizes.sum())], pa.int64())],
                 names=["block", "ids", "held", "sizes", "words", "tokens", "n"])
 
         for batch in batches:
@@ -71,7 +76,7 @@ class Block:
 
     def __init__(self, words: bytes, tokens: bytes, sizes: list[int], held: list[bool], buckets: int):
         self.words, self.sizes = np.frombuffer(words, np.uint64), np.asarray(sizes, np.int64)
-        self.token = np.frombuffer(tokens, np.uint32).astype(np.int64)
+        self.token = _widened(tokens, int(self.sizes.sum())).astype(np.int64)
         self.held, self.buckets = np.asarray(held, bool), np.uint64(buckets)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.trained = np.repeat(~self.held, self.sizes)
@@ -85,8 +90,8 @@ class Block:
     def word_counts(self) -> np.ndarray:
         return np.bincount(self.token[self.trained], minlength=len(self.words)).astype(np.uint64)
 
-    def pairs(self) -> None:
-        """Distinct (left, right) pairs in bucket order; left is -1 at a document's start."""
+    def pairs(self, hot: np.ndarray) -> None:
+        """Distinct (left, right) pairs by bucket and left word; left is -1 at a document's start."""
         left = np.empty_like(self.token)
         left[1:] = self.token[:-1]
         left[self.first] = -1
@@ -102,7 +107,8 @@ class Block:
         self.left_hash = np.where(self.left < 0, START, self.words[self.left])
         self.right_hash = self.words[self.right]
         with np.errstate(over="ignore"):
-            bucket = mixed(self.left_hash + (self.right_hash % SPREAD) * _K) % self.buckets
+            alone = _among(hot, self.left_hash)
+            bucket = mixed(self.left_hash + np.where(alone, self.right_hash, np.uint64(0)) * _K) % self.buckets
         place = np.argsort(bucket, kind="stable")
         self.cuts = np.searchsorted(bucket[place], np.arange(int(self.buckets) + 1))
         self.left, self.right, self.seen = self.left[place], self.right[place], seen[place]
@@ -113,17 +119,35 @@ class Block:
         self.of_token[order] = spot[group]
 
 
-def _blob(values: np.ndarray) -> bytes:
-    """Unsigned integers, in four bytes each where they fit (the reader knows how many there are)."""
-    values = values.astype(np.uint64)
-    return values.astype(np.uint32).tobytes() if not len(values) or values.max() < 1 << 32 else values.tobytes()
+def _among(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
+    if not len(sorted_values):
+        return np.zeros(len(values), bool)
+    return sorted_values[np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)] == values
 
 
-def _values(blob: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(blob, np.uint32 if len(blob) == 4 * n else np.uint64).astype(np.uint64)
+def _squeezed(values: np.ndarray) -> bytes:
+    """Unsigned integers, compressed byte plane by byte plane."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-EXCHANGE = "bucket int, block long, left binary, right binary, seen binary"
+def _widened(blob: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob, max_output_size=8 * n), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view("<u8").ravel()
+
+
+def _narrow(hashes: np.ndarray) -> bytes:
+    """The low 48 bits: enough to tell apart the words that follow one word."""
+    return np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _broad(blob: bytes) -> np.ndarray:
+    out = np.zeros((len(blob) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
+EXCHANGE = "bucket int, block long, n int, left binary, runs binary, right binary, seen binary"
 RETURNED = "kind int, block long, bucket int, a binary, b binary, s0 long, s1 long, s2 long, s3 long"
 PAIR_TOTALS, FOLLOWERS, STATISTICS, WORD_TOTALS, DOCUMENTS = range(5)
 
@@ -139,35 +163,62 @@ def _each_block(batch, buckets: int):
         yield r, Block(r["words"], r["tokens"], r["sizes"], r["held"], buckets)
 
 
-def _pair_exchange(blocks: DataFrame, buckets: int) -> DataFrame:
+def _sent(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
+                                      names=["bucket", "block", "n", "left", "runs", "right", "seen"])
+
+
+def _frequent(blocks: DataFrame, tokens: int) -> np.ndarray:
+    """Sorted hashes of words that would fill a bucket alone: no more of them than there are buckets."""
+    def count(batches):
+        for batch in batches:
+            for _, k in _each_block(batch, 1):
+                n = np.bincount(k.token, minlength=len(k.words))
+                own = np.flatnonzero(n * tokens >= len(k.token) * BUCKET_TOKENS)
+                yield pa.RecordBatch.from_arrays([pa.array(k.words[own].view(np.int64)), pa.array(n[own])], names=["word", "n"])
+
+    rows = (blocks.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+            .where(F.col("n") >= BUCKET_TOKENS).select("word").toArrow())
+    return np.sort(np.append(rows.column("word").to_numpy().view(np.uint64), START))
+
+
+def _pair_exchange(blocks: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
     def send(batches):
         for batch in batches:
             for r, k in _each_block(batch, buckets):
-                k.pairs()
-                rows = [(i, a, b) for i, (a, b) in enumerate(zip(k.cuts[:-1].tolist(), k.cuts[1:].tolist())) if a < b]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i for i, _, _ in rows], pa.int32()), pa.array([r["block"]] * len(rows), pa.int64()),
-                     *(pa.array([v[a:b].tobytes() for _, a, b in rows], pa.binary()) for v in (k.left_hash, k.right_hash)),
-                     pa.array([_blob(k.seen[a:b]) for _, a, b in rows], pa.binary())], names=["bucket", "block", "left", "right", "seen"])
+                k.pairs(hot)
+                out = []
+                for i, (a, b) in enumerate(zip(k.cuts[:-1].tolist(), k.cuts[1:].tolist())):
+                    if a < b:
+                        left = k.left_hash[a:b]
+                        run = np.flatnonzero(np.append(True, left[1:] != left[:-1]))
+                        out.append((i, r["block"], b - a, left[run].tobytes(), _squeezed(np.diff(np.append(run, b - a))),
+                                    _narrow(k.right_hash[a:b]), _squeezed(k.seen[a:b])))
+                yield _sent(out)
 
     def add(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        left, right = (np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column(c)]) for c in ("left", "right"))
-        sizes = [len(x.as_buffer()) // 8 for x in table.column("left")]
-        seen = np.concatenate([_values(x.as_py(), n) for x, n in zip(table.column("seen"), sizes)])
+        bucket, sizes = table.column("bucket")[0].as_py(), table.column("n").to_pylist()
+        left, right, seen = [], [], []
+        for n, words, runs, follow, count in zip(sizes, *(table.column(c) for c in ("left", "runs", "right", "seen"))):
+            word = np.frombuffer(words.as_buffer(), np.uint64)
+            left.append(np.repeat(word, _widened(runs.as_py(), len(word)).astype(np.int64)))
+            right.append(_broad(follow.as_py()))
+            seen.append(_widened(count.as_py(), n))
+        left, right, seen = (np.concatenate(v) for v in (left, right, seen))
         with np.errstate(over="ignore"):
             pair = mixed(left * _K ^ mixed(right))
         pair, first, inverse = np.unique(pair, return_index=True, return_inverse=True)
         total = np.bincount(inverse, weights=seen, minlength=len(pair)).astype(np.uint64)
         mine, at, rows = total[inverse], 0, []
         for block, n in zip(table.column("block").to_pylist(), sizes):
-            rows.append((PAIR_TOTALS, block, bucket, _blob(mine[at: at + n]), None, 0, 0, 0, 0))
+            rows.append((PAIR_TOTALS, block, bucket, _squeezed(mine[at: at + n]), None, 0, 0, 0, 0))
             at += n
         words, followers = np.unique(left[first[total > 0]], return_counts=True)
         home = words % np.uint64(buckets)
         for i in np.unique(home).tolist():
             own = home == i
-            rows.append((FOLLOWERS, -1, i, words[own].tobytes(), _blob(followers[own]), 0, 0, 0, 0))
+            rows.append((FOLLOWERS, -1, i, words[own].tobytes(), _squeezed(followers[own]), 0, 0, 0, 0))
         rows.append((STATISTICS, -1, bucket, None, None, int((total == 1).sum()), int((total == 2).sum()), 0, 0))
         return _rows(rows)
 
@@ -182,11 +233,10 @@ def _word_exchange(blocks: DataFrame, pairs: DataFrame, buckets: int) -> DataFra
                 counts, out = k.word_counts(), []
                 for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
                     if a < b:
-                        out.append((i, r["block"], k.words[order[a:b]].tobytes(), None, _blob(counts[order[a:b]])))
+                        out.append((i, r["block"], b - a, k.words[order[a:b]].tobytes(), None, None, _squeezed(counts[order[a:b]])))
                 starts = np.array([int((~k.held).sum())], np.uint64)
-                out.append((int(START % np.uint64(buckets)), r["block"], None, np.array([START]).tobytes(), _blob(starts)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
-                    pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "block", "left", "right", "seen"])
+                out.append((int(START % np.uint64(buckets)), r["block"], 1, None, None, np.array([START]).tobytes(), _squeezed(starts)))
+                yield _sent(out)
 
     def add(table: pa.Table) -> pa.Table:
         bucket, blocks_ = table.column("bucket")[0].as_py(), table.column("block").to_pylist()
@@ -195,7 +245,7 @@ def _word_exchange(blocks: DataFrame, pairs: DataFrame, buckets: int) -> DataFra
         for block, left, right, seen in zip(blocks_, *(table.column(c).to_pylist() for c in ("left", "right", "seen"))):
             h = np.frombuffer(left if left is not None else right, np.uint64)
             hashes.append(h)
-            values.append(_values(seen, len(h)))
+            values.append(_widened(seen, len(h)))
             kinds.append(0 if left is not None else 1 if block >= 0 else 2)
         word, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
         size = np.array([len(h) for h in hashes])
@@ -205,13 +255,14 @@ def _word_exchange(blocks: DataFrame, pairs: DataFrame, buckets: int) -> DataFra
         rows, ends = [], np.cumsum(size)
         for block, k, a, b in zip(blocks_, kinds, (ends - size).tolist(), ends.tolist()):
             if k < 2:  # the start symbol's row is marked by a negative bucket
-                rows.append((WORD_TOTALS, block, bucket if k == 0 else -1, _blob(count[inverse[a:b]]), _blob(after[inverse[a:b]]), 0, 0, 0, 0))
+                rows.append((WORD_TOTALS, block, bucket if k == 0 else -1, _squeezed(count[inverse[a:b]]), _squeezed(after[inverse[a:b]]), 0, 0, 0, 0))
         real = count[word != START]
         rows.append((STATISTICS, -1, bucket, None, None, int(real.sum()), int((real > 0).sum()), int((real == 1).sum()), int((real == 2).sum())))
         return _rows(rows)
 
     followers = pairs.where(F.col("kind") == FOLLOWERS).select(
-        "bucket", "block", F.lit(None).cast("binary").alias("left"), F.col("a").alias("right"), F.col("b").alias("seen"))
+        "bucket", "block", F.lit(0).alias("n"), F.lit(None).cast("binary").alias("left"), F.lit(None).cast("binary").alias("runs"),
+        F.col("a").alias("right"), F.col("b").alias("seen"))
     return saved(blocks.mapInArrow(send, EXCHANGE).union(followers).groupBy("bucket").applyInArrow(add, RETURNED), "lm-words")
 
 
@@ -233,8 +284,10 @@ def score(docs: DataFrame, folds: int = 7, held_fold: int = 2, id_col: str = "do
     """
     held = own_columns(docs, id=id_col, text=text_col).withColumn("held_out", crc_remainder("id", folds) == held_fold)
     blocks = _blocks(held)
-    buckets = max(8, -(-(blocks.agg(F.sum("n")).first()[0] or 0) // BUCKET_TOKENS))
-    pairs = _pair_exchange(blocks, buckets)
+    every = blocks.agg(F.sum("n")).first()[0] or 0
+    buckets = max(8, -(-every // BUCKET_TOKENS))
+    hot = _frequent(blocks, every)
+    pairs = _pair_exchange(blocks, buckets, hot)
     words = _word_exchange(blocks, pairs, buckets)
     total = lambda df, n: [v or 0 for v in df.where(F.col("kind") == STATISTICS).agg(*[F.sum(f"s{i}") for i in range(n)]).first()]
     pair_discount = _discount(*total(pairs, 2))
@@ -246,7 +299,7 @@ def score(docs: DataFrame, folds: int = 7, held_fold: int = 2, id_col: str = "do
         at = int(np.flatnonzero(kind == DOCUMENTS)[0])
         row = {c: table.column(c)[at].as_py() for c in ("a", "b", "held", "sizes")}
         k = Block(row["a"], row["b"], row["sizes"], row["held"], buckets)
-        k.pairs()
+        k.pairs(hot)
         order, cuts = k.dealt_words()
         seen = np.zeros(len(k.left), np.uint64)
         count, after = np.zeros(len(k.words) + 1, np.uint64), np.zeros(len(k.words) + 1, np.uint64)  # the last is the start
@@ -254,10 +307,10 @@ def score(docs: DataFrame, folds: int = 7, held_fold: int = 2, id_col: str = "do
             bucket, a, b = (table.column(c)[i].as_py() for c in ("bucket", "a", "b"))
             if kind[i] == PAIR_TOTALS:
                 x, y = k.cuts[bucket], k.cuts[bucket + 1]
-                seen[x:y] = _values(a, y - x)
+                seen[x:y] = _widened(a, y - x)
             else:
                 place = np.array([-1]) if bucket < 0 else order[cuts[bucket]: cuts[bucket + 1]]
-                count[place], after[place] = _values(a, len(place)), _values(b, len(place))
+                count[place], after[place] = _widened(a, len(place)), _widened(b, len(place))
         known = count[:-1] > 0
         if tokens:
             base = np.log10((count[:-1].astype(float) + 1) / (tokens + distinct + 1))
