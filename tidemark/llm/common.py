@@ -11,6 +11,7 @@ from tidemark.session import scratch_path
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 HASH_CHUNK = 1 << 21
+MANY_GROUPS = 10_000  # rows of two values; more than these are not broadcast
 
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(WHITE_SPACE)] = True
@@ -154,9 +155,9 @@ def bounded_sample(rows: DataFrame, group: str, text: str, most: int) -> DataFra
     """
     hashed = rows.withColumn("h", F.xxhash64(text))
     order = Window.partitionBy(group).orderBy("h")
-    cuts = (hashed.select(group, "h").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= most)
-            .groupBy(F.col(group).alias("g")).agg(F.max("h").alias("cut")))
-    return hashed.join(cuts, F.col(group) == F.col("g")).where(F.col("h") <= F.col("cut")).dropDuplicates([group, "h"]).drop("h", "g", "cut")
+    cuts = saved(hashed.select(group, "h").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= most)
+                 .groupBy(F.col(group).alias("g")).agg(F.max("h").alias("cut")), "sample-cuts")
+    return hashed.join(F.broadcast(cuts) if cuts.count() <= MANY_GROUPS else cuts, F.col(group) == F.col("g")).where(F.col("h") <= F.col("cut")).dropDuplicates([group, "h"]).drop("h", "g", "cut")
 
 
 def chunks(texts: list, limit: int):

@@ -68,8 +68,10 @@ def _copies(shift: Column) -> Column:
 
 
 def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-        payload: bool = False) -> DataFrame:
-    """doc_id, size, source_size, target, copies for every document; with ``payload`` also ``doc``, the row itself.
+        key_cols: list[str] | None = None) -> DataFrame:
+    """doc_id, size, source_size, target, copies, key for every document.
+
+    key is the hash of ``key_cols`` (the text alone by default).
 
     size is the number of words (null text: 0); a document is taken ``copies``
     (0 to 3) times.  Null sources are one source, ranked last.  Documents
@@ -79,10 +81,10 @@ def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", source_col:
     apart by the window only, so the multiset of results is the same in every
     run.  An empty table gives no rows; further columns are ignored.
     """
-    doc = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if payload else []
+    key = F.xxhash64(*[docs[c] for c in key_cols or [text_col]])
     held = docs.select(docs[id_col].alias("id"), docs[source_col].cast("string").alias("source"),
-                       word_count(docs[text_col]).alias("size"), F.xxhash64(docs[text_col]).alias("tie"),
-                       F.md5(F.coalesce(docs[id_col].cast("string"), F.lit(""))).alias("spot"), *doc)
+                       word_count(docs[text_col]).alias("size"), key.alias("tie"),
+                       F.md5(F.coalesce(docs[id_col].cast("string"), F.lit(""))).alias("spot"))
     held = saved(held, "mix")
     groups = held.groupBy("source", "size").agg(F.count("*").alias("n"))
     sizes = groups.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -106,7 +108,7 @@ def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", source_col:
         ).withColumn("at", F.col("before") + F.col("place"))
 
     # The words that each draw would take, summed within source before the shuffle.
-    tried = placed(held.drop("doc")).groupBy("source").agg(
+    tried = placed(held).groupBy("source").agg(
         F.first("target").alias("t"), *[F.sum(F.col("size") * _copies(offset(F.col("source"), seed, k))).alias(f"w{k}") for k in range(DRAWS)])
     chosen = tried.select(F.col("source").alias("of"), F.array_min(F.array(*[
         F.struct(F.abs(F.col(f"w{k}") - F.col("t")).alias("miss"), F.lit(k).alias("draw"), offset(F.col("source"), seed, k).alias("shift"))
@@ -114,11 +116,19 @@ def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", source_col:
     drawn = placed(held).join(F.broadcast(chosen) if sizes.count() <= MANY_SOURCES else chosen,
                               F.col("source").eqNullSafe(F.col("of")))
     return drawn.select(F.col("id").alias(id_col), "size", "source_size", "target", _copies(F.col("shift")).alias("copies"),
-                        *(["doc"] if payload else []))
+                        F.col("tie").alias("key"))
+
 
+def mixed_documents(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id") -> DataFrame:
+    """The rows of the mix with the columns of ``docs``, a document taken n times standing n times.
 
-def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
-    """The rows of the mix with the columns of ``docs``, a document taken n times standing n times."""
-    taken = mix(docs, seed, payload=True).where("copies > 0")
-    return taken.select(F.explode(F.expr("array_repeat(doc, cast(copies as int))")).alias("doc")).select(
+    Copies are worked out beside the texts and summed up for rows equal in all
+    columns; the texts move once, to meet the copies of their own row.
+    """
+    taken = (mix(docs, seed, key_cols=docs.columns).where("copies > 0").groupBy(F.col(id_col).alias("t_id"), F.col("key").alias("t_key"))
+             .agg(F.sum("copies").alias("copies")))
+    rows = docs.select(docs[id_col].alias("id"), F.xxhash64(*[docs[c] for c in docs.columns]).alias("key"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    met = rows.join(taken, rows["id"].eqNullSafe(taken["t_id"]) & (rows["key"] == taken["t_key"])).dropDuplicates(["id", "key"])
+    return met.select(F.explode(F.expr("array_repeat(doc, cast(copies as int))")).alias("doc")).select(
         *[F.col("doc").getField(c).alias(c) for c in docs.columns])

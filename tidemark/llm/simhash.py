@@ -137,23 +137,21 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, radius: int = 4, id
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle_words: int = 4, radius: int = 4, text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, shingle_words: int = 4, radius: int = 4, text_col: str = "text",
+                id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` with one document of each group of near-duplicates.
 
-    The row kept is the one with the smallest doc_id (nulls last), ties broken
-    by the row's hash, of equal rows exactly one.  Columns stay as they are.
-    Rows are numbered in the saved copy, so that equal rows can be told apart.
+    The row kept is the one with the smallest id (nulls last), ties broken by the
+    text's hash; of rows equal in both exactly one.  Columns stay as they are.
+    Fingerprints are grouped beside the texts, which move once, to be matched
+    with the documents that stay.
     """
-    cols = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    text, doc_id = (f"c{docs.columns.index(c)}" for c in (text_col, "doc_id"))
-    held = with_fingerprints(docs.select(*cols, docs[text_col].alias("text")), shingle_words,
-                             [f"c{i}" for i in range(len(docs.columns))])
-    held = saved(held.withColumn("row", F.monotonically_increasing_id()), "simhash-docs")
-    groups = saved(held.groupBy("fp").agg(F.min(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"),
-                                                         F.xxhash64(text).alias("h"), F.col("row"))).alias("first")),
-                   "simhash-groups")
+    keyed = saved(with_fingerprints(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("h")),
+                                    shingle_words, ["id", "h"]), "simhash")
+    groups = saved(keyed.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("first")), "simhash-groups")
     root = components(linked(groups.select("fp"), radius), "simhash")
-    keep = (groups.join(root.withColumnRenamed("node", "fp"), "fp", "left")
-            .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first")).select("first.row"))
-    return held.join(keep, "row", "left_semi").select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    keep = (groups.join(root.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
+            .agg(F.min("first").alias("first")).select(F.col("first.id").alias("k_id"), F.col("first.h").alias("k_h")).distinct())
+    rows = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    kept = rows.join(keep, rows["id"].eqNullSafe(keep["k_id"]) & (rows["h"] == keep["k_h"]), "left_semi").dropDuplicates(["id", "h"])
+    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])

@@ -220,8 +220,7 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold: int = 2
     sample = held.where("text is not null").join(
         F.broadcast(picked), (F.col("id") == F.col("p_id")) & (F.xxhash64("text") == F.col("key"))).dropDuplicates(["toxic", "key"])
     chosen = choose_terms(saved(sample.select("text", "toxic"), "toxicity-sample"))
-    keep = ["id", "doc"] if payload else ["id"]
-    found = saved(with_terms(held, chosen, keep), "toxicity-terms")
+    found = saved(with_terms(held, chosen, ["id"]), "toxicity-terms")
     n = found.count()
     df = np.zeros(len(chosen), np.int64)
     for r in _frequencies(found, len(chosen)).collect():  # one row for each chosen term
@@ -252,7 +251,10 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold: int = 2
                  pa.array([[{"similarity": x, "toxic": y} for x, y in e] for _, e in out],
                           pa.list_(pa.struct([("similarity", pa.float64()), ("toxic", pa.float64())])))], names=[*keep, "score", "evidence"])
 
-    scored = found.mapInArrow(run, extended(found.select(*keep).schema, "score double, evidence array<struct<similarity: double, toxic: double>>"))
+    # With whole rows the terms are found once more, which is cheaper than keeping a second copy of the texts.
+    keep = ["id", "doc"] if payload else ["id"]
+    asked = with_terms(held, chosen, keep) if payload else found
+    scored = asked.mapInArrow(run, extended(asked.select(*keep).schema, "score double, evidence array<struct<similarity: double, toxic: double>>"))
     return scored.select(F.col("id").alias(id_col), (crc_remainder("id", folds) == held_fold).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence", *(["doc"] if payload else []))
 
