@@ -32,7 +32,7 @@ NEIGHBOURS = 16
 BLOCK = 64
 PRIOR = 0.25
 THRESHOLD = 0.3
-TEXT_CHUNK = 1 << 20
+TEXT_CHUNK = 1 << 18
 FILTER_BITS = 18
 
 _TO_SPACE = np.arange(256, dtype=np.uint8)
