@@ -17,6 +17,8 @@ def reconcile_bars(log: DataFrame, bars: DataFrame) -> DataFrame:
     l = log.groupBy("symbol").agg(F.count(F.lit(1)).alias("log_count"), exact_sum("qty").alias("log_qty"))
     b = bars.groupBy("symbol").agg(F.sum("trade_count").alias("bar_count"),
                                    exact_sum("total_qty").alias("bar_qty"))
-    j = l.join(b, "symbol", "full_outer")
+    b = b.withColumnRenamed("symbol", "b_symbol")  # a NULL symbol is a symbol like others
+    j = l.join(b, F.col("symbol").eqNullSafe(F.col("b_symbol")), "full_outer").select(
+        F.coalesce("symbol", "b_symbol").alias("symbol"), "log_count", "log_qty", "bar_count", "bar_qty")
     return j.withColumn("consistent", F.col("log_count").eqNullSafe(F.col("bar_count"))
                         & F.col("log_qty").eqNullSafe(F.col("bar_qty")))

@@ -17,10 +17,14 @@ from ..functions.ordering import order_key
 
 def upsert_by_key(df: DataFrame, keys: list[str], ts: str | Column = "ts",
                   seq: str | Column = "seq") -> DataFrame:
-    """Newest row wins per key; order is (ts, seq), a total order."""
+    """Newest row wins per key; order is (ts, seq), a total order.
+
+    A row whose order key is NULL is older than any other; of several such rows
+    the one with the greatest hash stays, the same in every run.
+    """
     rest = [c for c in df.columns if c not in keys]
     latest = (df.groupBy(*keys)
-              .agg(F.max_by(F.struct(*rest), order_key(ts, seq)).alias("_row")))
+              .agg(F.max_by(F.struct(*rest), F.struct(order_key(ts, seq).alias("o"), F.xxhash64(*rest).alias("h"))).alias("_row")))
     return latest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 

@@ -27,6 +27,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,7 +86,9 @@ class VersionedTable:
     def commits(self) -> DataFrame:
         try:
             return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.log_path)
-        except Exception:  # no commit yet
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise  # an unreadable log is not an empty one
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
 
     def _log(self) -> list:

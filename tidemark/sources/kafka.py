@@ -18,11 +18,11 @@ STARTING_OFFSETS = {"earliest": "earliest", "latest": "latest"}
 
 def kafka_source_options(topic: str, servers: str, start: str = "earliest",
                          group_id: str | None = None, max_offsets_per_trigger: int | None = None,
-                         extra: dict | None = None) -> dict[str, str]:
+                         extra: dict | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
     if start not in STARTING_OFFSETS:
         raise ValueError(f"start must be one of {sorted(STARTING_OFFSETS)}")
     opts = {"kafka.bootstrap.servers": servers, "subscribe": topic,
-            "startingOffsets": STARTING_OFFSETS[start], "failOnDataLoss": "false"}
+            "startingOffsets": STARTING_OFFSETS[start], "failOnDataLoss": str(fail_on_data_loss).lower()}
     if group_id:
         opts["kafka.group.id"] = group_id
     if max_offsets_per_trigger:
@@ -33,10 +33,16 @@ def kafka_source_options(topic: str, servers: str, start: str = "earliest",
 
 def read_trade_stream(spark: SparkSession, topic: str, servers: str, start: str = "earliest",
                       group_id: str | None = None, lateness: str | None = "5 seconds",
-                      mode: str = "lenient") -> DataFrame:
-    """Topic -> parsed trades with event time and watermark (streaming)."""
+                      mode: str = "lenient", max_offsets_per_trigger: int | None = None,
+                      fail_on_data_loss: bool = True) -> DataFrame:
+    """Topic -> parsed trades with event time and watermark (streaming).
+
+    Offsets that expired before they were read stop the query unless
+    ``fail_on_data_loss`` is turned off.
+    """
     raw = spark.readStream.format("kafka").options(
-        **kafka_source_options(topic, servers, start, group_id)).load()
+        **kafka_source_options(topic, servers, start, group_id, max_offsets_per_trigger,
+                               fail_on_data_loss=fail_on_data_loss)).load()
     return trade_stream(message_envelope(raw), lateness, mode)
 
 

@@ -9,8 +9,8 @@ Layout decisions:
 * **Two bar modes.**  ``final``: append mode, a bar is written once, when
   the watermark passes its end.  ``upsert``: update mode; every micro-batch
   commits the bars it changed as one version of a versioned table keyed by
-  (symbol, window_start) (commit token = micro-batch id, so a replayed
-  batch commits once); the newest micro-batch wins per key.  It also shows
+  (symbol, window_start) (commit token = query id and micro-batch id, so
+  a replayed batch commits once); the newest micro-batch wins per key.  It also shows
   the still-open windows, and the bar table gets snapshots, time travel and
   compaction like any versioned table.
 * Every query takes a checkpoint location; rerunning on the same one
@@ -19,6 +19,7 @@ Layout decisions:
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -134,7 +135,10 @@ def stream_bars(trades: DataFrame, path: str, checkpoint: str, size: str = "1 mi
             try:
                 if df.isEmpty():  # watermark-only micro-batch: nothing changed
                     return
-                table.commit(df.withColumn("_mb", F.lit(batch_id).cast("long")), token=f"bars:{batch_id}")
+                table.refresh()
+                order = 1 + max((r.version for r in table._log()), default=0)  # grows on under a new checkpoint too
+                table.commit(df.withColumn("_mb", F.lit(order).cast("long")),
+                             token=f"bars:{query_id(df, checkpoint)}:{batch_id}")
             finally:
                 df.unpersist()
         w = (bars.writeStream.foreachBatch(write_batch)
@@ -143,6 +147,11 @@ def stream_bars(trades: DataFrame, path: str, checkpoint: str, size: str = "1 mi
     raise ValueError("mode must be 'final' or 'upsert'")
 
 
+def query_id(df: DataFrame, checkpoint: str) -> str:
+    """The id that Spark gave the query of this checkpoint; a new checkpoint has a new one."""
+    return json.loads(df.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def bar_table(spark: SparkSession, path: str) -> VersionedTable:
     """Upsert-mode bars: a versioned table keyed by (symbol, window_start);
     a bar updated in a later micro-batch replaces the earlier row."""
@@ -194,12 +203,12 @@ def stream_to_versioned(stream: DataFrame, table, checkpoint: str, name: str,
                         trigger: str | None = None):
     """Each micro-batch becomes one version of a ``VersionedTable``.
 
-    The commit token is (name, micro-batch id), so a micro-batch replayed
+    The commit token is (name, query id, micro-batch id), so a micro-batch replayed
     after a failure is committed once.  Readers of the table go through its
     commit log; do not point a file stream at the table's directories.
     """
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        table.commit(df, token=f"{name}:{batch_id}")
+        table.commit(df, token=f"{name}:{query_id(df, checkpoint)}:{batch_id}")
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return run(w, trigger)
 
