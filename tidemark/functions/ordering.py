@@ -6,7 +6,8 @@ the source offset, so replays and shuffles give the same answer.
 
 (ts, seq) is packed into one DECIMAL(38,0): ``ts * 2e19 + seq``.  The seq
 span of a signed long (about 1.85e19) is below the multiplier, so the
-packing is order-preserving for every (ts, seq) pair of longs, and a decimal
+packing is order-preserving for every long seq and every |ts| up to 4e18 (as
+epoch milliseconds or microseconds: beyond the year 100,000), and a decimal
 aggregation buffer is mutable in place, which keeps ``min_by``/``max_by`` in
 a partial + final HashAggregate (a struct key would force SortAggregate).
 """

@@ -40,3 +40,12 @@ def to_ntz(col) -> Column:
 def clock_label(ts_ms="ts") -> Column:
     """Epoch milliseconds as an ``HH:mm:ss`` wall-clock label (UTC)."""
     return F.date_format(F.timestamp_millis(_c(ts_ms)), "HH:mm:ss")
+
+
+def interval_micros(interval: str) -> int:
+    """Length of "5 minutes" and the like in microseconds."""
+    n, unit = interval.split()
+    unit = unit.rstrip("s").lower()
+    scale = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000,
+             "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}[unit]
+    return int(float(n) * scale)

@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exact import exact_avg, exact_sum
+from ..functions.exact import exact_avg, exact_sum, finish_sum, merge_parts, sum_parts
 from ..functions.ordering import first_value, last_value
-from ..functions.time import to_ntz
+from ..functions.time import interval_micros, to_ntz
 from ..sources.trades import BUY, SELL
 
 BAR_COLUMNS = ["symbol", "window_start", "window_end", "open_price", "high_price",
@@ -71,6 +71,20 @@ def window_counts(trades: DataFrame, size: str = "1 minute", slide: str | None =
                      F.count(F.lit(1)).alias("trade_count"))
 
 
+def _panes(trades: DataFrame, size: str, slide: str, time_col: str, partial: list[Column],
+           merged: list[Column]) -> DataFrame:
+    """Overlapping windows from slide-wide panes: rows are first reduced to one
+    per (symbol, pane), and only panes are copied into their size/slide windows.
+    Exact for counts and sums where the size is a whole number of slides."""
+    panes = (trades.groupBy("symbol", F.window(time_col, slide).alias("_pane")).agg(*partial)
+             .withColumn("_start", F.col("_pane.start")).drop("_pane"))
+    return _windowed(panes, size, slide, "_start", ["symbol"], *merged)
+
+
+def _whole_slides(trades: DataFrame, size: str, slide: str) -> bool:
+    return not trades.isStreaming and interval_micros(size) % interval_micros(slide) == 0
+
+
 def sliding_counts(trades: DataFrame, size: str = "2 minutes", slide: str = "1 minute",
                    time_col: str = "event_time") -> DataFrame:
     """HOP window: every row falls in size/slide overlapping windows.
@@ -78,15 +92,24 @@ def sliding_counts(trades: DataFrame, size: str = "2 minutes", slide: str = "1 m
     Note the argument order: a SQL HOP table function takes (slide, size), Spark's
     ``window`` takes (size, slide).
     """
-    return window_counts(trades, size, slide, time_col)
+    if not _whole_slides(trades, size, slide):
+        return window_counts(trades, size, slide, time_col)
+    return _panes(trades, size, slide, time_col, [F.count(F.lit(1)).alias("n")], [F.sum("n").alias("trade_count")])
 
 
 def moving_average(trades: DataFrame, size: str = "5 minutes", slide: str = "1 minute",
                    time_col: str = "event_time") -> DataFrame:
     """Average price over the last ``size``, emitted every ``slide``."""
-    return _windowed(trades, size, slide, time_col, ["symbol"],
-                     exact_avg("price").alias("avg_price"),
-                     F.count(F.lit(1)).alias("trade_count"))
+    if not _whole_slides(trades, size, slide):
+        return _windowed(trades, size, slide, time_col, ["symbol"],
+                         exact_avg("price").alias("avg_price"),
+                         F.count(F.lit(1)).alias("trade_count"))
+    out = _panes(trades, size, slide, time_col,
+                 [*sum_parts("price", "price"), F.count("price").alias("priced"), F.count(F.lit(1)).alias("n")],
+                 [*merge_parts("price"), F.sum("priced").alias("priced"), F.sum("n").alias("trade_count")])
+    return out.select("symbol", "window_start", "window_end",
+                      F.when(F.col("priced") > 0, finish_sum("price") / F.col("priced")).alias("avg_price"),
+                      "trade_count")
 
 
 def buy_pressure(bars: DataFrame) -> DataFrame:

@@ -1,29 +1,29 @@
 """Session windows that stay parallel when one key holds most rows.
 
 A plain ``groupBy(key, session_window(t, gap))`` sends every row of a key to
-one task.  Here the time line is first cut into buckets: sessions are built
-per (key, bucket) with Spark's own ``session_window`` (partial merge before
-the shuffle), which spreads a hot key over all of its buckets.  Only the
-first and last fragment of each (key, bucket) can touch a neighbouring
-bucket, so just those (at most two per key and bucket) are stitched
-together in a second, small pass; interior fragments are final sessions.
+one task.  Here the time line is cut into panes one gap wide.  Two rows of
+one pane are less than a gap apart, so a pane belongs to one session and can
+be reduced to (first time, last time, count, sums) by an ordinary aggregate,
+combined before the shuffle: raw rows never cross the network.  Panes are
+then stitched per (key, bucket of consecutive panes), and only the first and
+last fragment of each bucket, the ones that can touch a neighbour, are
+stitched per key in a last small pass; interior fragments are final.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exact import SCALE
-from ..functions.time import to_ntz
+from ..functions.exact import finish_sum, merge_parts, part_names, sum_parts
+from ..functions.time import interval_micros, to_ntz
 
+MIN_PANES = 64  # fewer panes a bucket would leave every fragment on an edge
 
-def _micros(interval: str) -> int:
-    n, unit = interval.split()
-    unit = unit.rstrip("s").lower()
-    scale = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000,
-             "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}[unit]
-    return int(float(n) * scale)
+
+def _floor_div(c: Column, n: int) -> Column:
+    """Floor division of longs without passing through a double."""
+    return F.call_function("div", c - F.pmod(c, F.lit(n).cast("long")), F.lit(n).cast("long"))
 
 
 def sessions(df: DataFrame, keys: list[str], time_col: str, gap: str = "5 minutes",
@@ -33,39 +33,42 @@ def sessions(df: DataFrame, keys: list[str], time_col: str, gap: str = "5 minute
     A session closes after a gap *longer* than ``gap``; rows exactly ``gap``
     apart stay together.  ``session_end`` = last event time + gap.
     """
-    gap_us = _micros(gap)
-    bucket_us = _micros(bucket)
+    gap_us = interval_micros(gap)
+    panes_a_bucket = max(MIN_PANES, interval_micros(bucket) // gap_us)
     t = F.col(time_col).cast("timestamp")
-    rows = df.select(*keys, t.alias("_t"), *sum_cols).where(F.col("_t").isNotNull())
-    us = F.unix_micros("_t")
-    rows = rows.withColumn("_b", (us - F.pmod(us, F.lit(bucket_us))).cast("long") / F.lit(bucket_us))
-    rows = rows.withColumn("_b", F.col("_b").cast("long"))  # exact floor division
+    rows = df.select(*keys, F.unix_micros(t).alias("_us"), *sum_cols).where(F.col("_us").isNotNull())
+    merged = [p for c in sum_cols for p in merge_parts(c)]
+    names = [p for c in sum_cols for p in part_names(c)]
 
-    frag = (rows.groupBy(*keys, "_b", F.session_window("_t", gap).alias("_s"))
-            .agg(F.count(F.lit(1)).alias("event_count"),
-                 *[F.sum(F.col(c).cast(f"decimal(18,{SCALE})")).alias(c) for c in sum_cols])
-            .select(*keys, "_b", F.col("_s.start").alias("_start"),
-                    F.col("_s.end").alias("_end"), "event_count", *sum_cols))
+    rows = rows.withColumn("_pane", _floor_div(F.col("_us"), gap_us))
+    panes = (rows.groupBy(*keys, "_pane")
+             .agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi"), F.count(F.lit(1)).alias("event_count"),
+                  *[p for c in sum_cols for p in sum_parts(c, c)])
+             .withColumn("_b", _floor_div(F.col("_pane"), panes_a_bucket)))
 
-    per_bucket = Window.partitionBy(*keys, "_b")
-    frag = frag.withColumn(
-        "_edge", (F.col("_start") == F.min("_start").over(per_bucket))
-        | (F.col("_start") == F.max("_start").over(per_bucket)))
+    def apart(lo: str, hi: str, w) -> Column:
+        return F.when(F.col(lo) - F.lag(hi).over(w) <= gap_us, 0).otherwise(1)
 
-    interior = frag.where(~F.col("_edge")).select(*keys, "_start", "_end", "event_count", *sum_cols)
+    in_bucket = Window.partitionBy(*keys, "_b").orderBy("_pane")
+    frag = (panes.withColumn("_new", apart("_lo", "_hi", in_bucket))
+            .withColumn("_grp", F.sum("_new").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("_last", F.max("_grp").over(Window.partitionBy(*keys, "_b")))
+            .groupBy(*keys, "_b", "_grp")
+            .agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.sum("event_count").alias("event_count"),
+                 *merged, F.max("_last").alias("_last"))
+            .withColumn("_edge", (F.col("_grp") == 1) | (F.col("_grp") == F.col("_last"))))
+    interior = frag.where(~F.col("_edge")).select(*keys, "_lo", "_hi", "event_count", *names)
 
-    by_key = Window.partitionBy(*keys).orderBy("_start")
-    edges = frag.where(F.col("_edge"))
-    edges = edges.withColumn(
-        "_new", F.when(F.lag("_end").over(by_key) >= F.col("_start"), 0).otherwise(1))
-    edges = edges.withColumn("_grp", F.sum("_new").over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
-    stitched = (edges.groupBy(*keys, "_grp")
-                .agg(F.min("_start").alias("_start"), F.max("_end").alias("_end"),
-                     F.sum("event_count").alias("event_count"),
-                     *[F.sum(c).alias(c) for c in sum_cols])
-                .drop("_grp"))
+    by_key = Window.partitionBy(*keys).orderBy("_lo")
+    stitched = (frag.where(F.col("_edge"))
+                .withColumn("_new", apart("_lo", "_hi", by_key))
+                .withColumn("_stitch", F.sum("_new").over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
+                .groupBy(*keys, "_stitch")
+                .agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.sum("event_count").alias("event_count"),
+                     *merged)
+                .drop("_stitch"))
 
     out = interior.unionByName(stitched)
-    return out.select(*keys, to_ntz("_start").alias("session_start"),
-                      to_ntz("_end").alias("session_end"), "event_count",
-                      *[F.col(c).cast("double").alias(c) for c in sum_cols])
+    return out.select(*keys, to_ntz(F.timestamp_micros("_lo")).alias("session_start"),
+                      to_ntz(F.timestamp_micros(F.col("_hi") + gap_us)).alias("session_end"), "event_count",
+                      *[finish_sum(c).alias(c) for c in sum_cols])

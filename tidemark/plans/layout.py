@@ -15,9 +15,11 @@ truncate), and keeps the original filter so the answer is exact.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -96,71 +98,95 @@ def with_layout(df: DataFrame, layout: list[Part]) -> DataFrame:
 
 
 def write_layout(df: DataFrame, path: str, layout: list[Part], mode: str = "overwrite") -> None:
-    (with_layout(df, layout).write.mode(mode)
+    """Rows are gathered by partition value first, so a partition gets few files
+    rather than one from every task; AQE splits a partition value that holds
+    too many rows for one task."""
+    laid = with_layout(df, layout)
+    (laid.hint("rebalance", *[F.col(p.name) for p in layout]).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*[p.name for p in layout]).parquet(path))
 
 
-def read_layout(spark: SparkSession, path: str, layout: list[Part]) -> DataFrame:
-    """Read a laid-out table with its partition columns in their declared types."""
-    df = spark.read.parquet(path)
-    for p in layout:
-        if p.transform == "days":
-            df = df.withColumn(p.name, F.col(p.name).cast("date"))
-        elif p.transform in ("years", "months", "hours", "bucket"):
-            df = df.withColumn(p.name, F.col(p.name).cast("int"))
-    return df
+_FIXED_TYPES = {"years": T.IntegerType(), "months": T.IntegerType(), "hours": T.IntegerType(),
+                "bucket": T.IntegerType(), "days": T.DateType()}
 
 
-def derived_predicate(layout: list[Part], source: str, start=None, end=None,
-                      equals=None, prefix: str | None = None) -> Column | None:
-    """Partition predicate implied by a predicate on ``source``.
+def read_layout(spark: SparkSession, path: str, layout: list[Part], schema: T.StructType | None = None) -> DataFrame:
+    """Read a laid-out table with its partition columns in their declared types.
+
+    Values in directory names are text; left to inference '007' would come
+    back as the number 7.  A truncate or identity column has the type of its
+    source.  Where an identity column is its own source, its type is in no
+    file: give ``schema`` (by default such a column is text).
+    """
+    found = schema or spark.read.parquet(path).schema
+    types = {f.name: f.dataType for f in found.fields}
+    if schema is None:
+        for p in layout:
+            own = T.StringType() if p.name == p.source else types[p.source]
+            types[p.name] = _FIXED_TYPES.get(p.transform, own)
+    fields = [T.StructField(f.name, types[f.name], True) for f in found.fields]
+    fields += [T.StructField(p.name, _FIXED_TYPES.get(p.transform, types.get(p.source)), True)
+               for p in layout if p.name not in types]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
 
-    Range ``start <= source < end`` maps to ``unit(start) <= part <= unit(end)``
-    for monotone time transforms (inclusive at the top: a superset, exact
-    after the original filter).  Equality maps through bucket/identity;
-    a string prefix maps through truncate when the prefix is at least as
-    long as the width.
+def _part_of(p: Part, value: Column, dtype: T.DataType) -> Column:
+    if p.transform == "truncate" and isinstance(dtype, T.StringType):
+        return F.substring(value, 1, p.param)
+    return transform_value(p, value)
+
+
+def derived_predicate(layout: list[Part], source: str, dtype: T.DataType, start=None, end=None,
+                      equals=None, prefix: str | None = None) -> Column | None:
+    """Partition predicate implied by a predicate on ``source`` (of type ``dtype``).
+
+    Values take the column's type before they are transformed, so that 5 on a
+    double column is hashed as 5.0.  Range ``start <= source < end`` maps to
+    ``unit(start) <= part <= unit(end)`` for monotone time transforms
+    (inclusive at the top: a superset, exact after the original filter).
+    Equality maps through every transform; a string prefix maps through
+    truncate, cut to the shorter of the two.
     """
+    def lit(v) -> Column:
+        return F.lit(v).cast(dtype)
+
     preds = []
     for p in layout:
         if p.source != source:
             continue
-        if p.transform in ("years", "months", "days", "hours") and (start is not None or end is not None):
+        part = F.col(p.name)
+        if p.transform in ("years", "months", "days", "hours"):
             if start is not None:
-                preds.append(F.col(p.name) >= transform_value(p, F.lit(start)))
+                preds.append(part >= transform_value(p, lit(start)))
             if end is not None:
-                preds.append(F.col(p.name) <= transform_value(p, F.lit(end)))
-        elif p.transform in ("bucket", "identity") and equals is not None:
-            preds.append(F.col(p.name) == transform_value(p, F.lit(equals)))
-        elif p.transform == "truncate" and prefix is not None and len(prefix) >= p.param:
-            preds.append(F.col(p.name) == F.lit(prefix[:p.param]))
-    if not preds:
-        return None
-    out = preds[0]
-    for q in preds[1:]:
-        out = out & q
-    return out
+                preds.append(part <= transform_value(p, lit(end)))
+        if equals is not None:
+            preds.append(part == _part_of(p, lit(equals), dtype))
+        if p.transform == "truncate" and prefix is not None and isinstance(dtype, T.StringType):
+            preds.append(part == F.lit(prefix[:p.param]) if len(prefix) >= p.param else part.startswith(prefix))
+    return reduce(lambda x, y: x & y, preds) if preds else None
 
 
 def pruned_read(spark: SparkSession, path: str, layout: list[Part], source: str,
-                start=None, end=None, equals=None) -> DataFrame:
+                start=None, end=None, equals=None, prefix: str | None = None,
+                schema: T.StructType | None = None) -> DataFrame:
     """Filter by the plain column; the layout predicate is added for pruning."""
-    df = read_layout(spark, path, layout)
-    c = F.col(source)
-    cond = None
+    df = read_layout(spark, path, layout, schema)
+    c, dtype = F.col(source), df.schema[source].dataType
+    conds = []
     if start is not None:
-        cond = c >= F.lit(start).cast(df.schema[source].dataType)
+        conds.append(c >= F.lit(start).cast(dtype))
     if end is not None:
-        e = c < F.lit(end).cast(df.schema[source].dataType)
-        cond = e if cond is None else cond & e
+        conds.append(c < F.lit(end).cast(dtype))
     if equals is not None:
-        e = c == F.lit(equals)
-        cond = e if cond is None else cond & e
-    derived = derived_predicate(layout, source, start, end, equals)
-    if derived is not None:
-        df = df.where(derived)
-    return df.where(cond) if cond is not None else df
+        conds.append(c == F.lit(equals).cast(dtype))
+    if prefix is not None:
+        conds.append(c.startswith(prefix))
+    derived = derived_predicate(layout, source, dtype, start, end, equals, prefix)
+    for cond in ([derived] if derived is not None else []) + conds:
+        df = df.where(cond)
+    return df
 
 
 def union_layouts(parts: list[DataFrame]) -> DataFrame:

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,6 +44,7 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("target", T.LongType()),         # rollback target
     T.StructField("schema_json", T.StringType()),  # table schema after it
     T.StructField("token", T.StringType()),        # caller's idempotency token
+    T.StructField("added_rows", T.LongType()),     # rows an append brought in; 0 for other commits
 ])
 
 # Type changes allowed by widen_type (old simple type -> new simple type).
@@ -113,7 +115,7 @@ class VersionedTable:
                "operation": row["operation"], "batch_id": row.get("batch_id"),
                "parent": parent, "target": row.get("target"),
                "schema_json": row.get("schema_json") or (log[-1].schema_json if log else None),
-               "token": row.get("token")}
+               "token": row.get("token"), "added_rows": row.get("added_rows", 0)}
         (self.spark.createDataFrame([rec], COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self.log_path))
         self.refresh()
@@ -130,6 +132,11 @@ class VersionedTable:
                 return T.StructType.fromJson(json.loads(r.schema_json))
         return None
 
+    def _last_id(self) -> int:
+        """Highest field id ever given out, dropped columns included: ids are never reused."""
+        seen = {r.schema_json for r in self._log() if r.schema_json}
+        return max([_max_id(T.StructType.fromJson(json.loads(j))) for j in seen] or [0])
+
     def _upto(self, version: int | None) -> list:
         log = self._log()
         if version is None:
@@ -145,7 +152,7 @@ class VersionedTable:
         extra = [f for f in df.schema.fields if f.name not in names]
         if extra and not evolve:
             raise ValueError(f"columns not in the table schema: {[f.name for f in extra]}")
-        return T.StructType(cur.fields + _with_ids(T.StructType(extra), _max_id(cur) + 1).fields)
+        return T.StructType(cur.fields + _with_ids(T.StructType(extra), self._last_id() + 1).fields)
 
     def commit(self, df: DataFrame, committed_at=None, evolve: bool = False,
                token: str | None = None) -> int:
@@ -168,9 +175,11 @@ class VersionedTable:
         # epoch share physical types (a failing cast is a schema violation).
         cols = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
                 for f in schema.fields if f.name in df.columns]
-        df.select(*cols).write.mode("overwrite").parquet(f"{self.data_path}/batch_id={version}")
+        path = f"{self.data_path}/batch_id={version}"
+        df.select(*cols).write.mode("overwrite").parquet(path)
+        added = self.spark.read.schema(schema).parquet(path).count()  # from the file footers
         return self._append_commit(operation="append", batch_id=version, committed_at=committed_at,
-                                   schema_json=schema.json(), token=token)
+                                   schema_json=schema.json(), token=token, added_rows=added)
 
     def bulk_commit(self, df: DataFrame, batch: Column, committed_at: Column) -> None:
         """Backfill: one version per distinct ``batch`` value, in one write job.
@@ -188,9 +197,10 @@ class VersionedTable:
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(self.data_path))
         by_version = Window.orderBy("version")  # one row per commit
-        log = (staged.groupBy("batch_id").agg(F.max("_cat").cast("timestamp_ntz").alias("committed_at"))
+        log = (staged.groupBy("batch_id").agg(F.max("_cat").cast("timestamp_ntz").alias("committed_at"),
+                                              F.count(F.lit(1)).alias("added_rows"))
                .select(F.col("batch_id").alias("version"), "committed_at",
-                       F.lit("append").alias("operation"), "batch_id")
+                       F.lit("append").alias("operation"), "batch_id", "added_rows")
                .withColumn("parent", F.lag("version").over(by_version))
                .withColumn("target", F.lit(None).cast("long"))
                .withColumn("schema_json", F.lit(schema.json()))
@@ -227,7 +237,7 @@ class VersionedTable:
         cur = self.schema()
         if name in cur.fieldNames():
             raise ValueError(f"column {name} exists")
-        f = T.StructField(name, T.DataType.fromDDL(dtype), True, {"field_id": _max_id(cur) + 1})
+        f = T.StructField(name, T.DataType.fromDDL(dtype), True, {"field_id": self._last_id() + 1})
         return self._schema_commit(T.StructType(cur.fields + [f]), "add_column", committed_at)
 
     def _require(self, name: str) -> T.StructType:
@@ -275,8 +285,12 @@ class VersionedTable:
         return self._schema_commit(T.StructType(fields), "widen_type", committed_at)
 
     # ------------------------------------------------------------ reads
-    def visible_batches(self, version: int | None = None) -> list[int]:
-        """Batch ids seen by ``version`` (default: current), following rollbacks."""
+    def visible_batches(self, version: int | None = None, logical: bool = False) -> list[int]:
+        """Batch ids seen by ``version`` (default: current), following rollbacks.
+
+        ``logical`` lists the appended batches, looking through compactions,
+        which rewrite rows without changing the table's contents.
+        """
         log = self._log()
         by_v = {r.version: r for r in log}
         if not log:
@@ -290,6 +304,9 @@ class VersionedTable:
             if r.operation == "rollback":
                 v = r.target
                 continue
+            if r.operation == "compact" and logical:
+                v = r.parent
+                continue
             if r.batch_id is not None:
                 out.append(r.batch_id)
             if r.operation == "compact":  # holds the whole state of its parent
@@ -308,11 +325,9 @@ class VersionedTable:
     def log_rows(self, version: int | None = None, only: set[int] | None = None) -> DataFrame:
         """All visible rows (no upsert), projected onto the version's schema.
 
-        ``only`` restricts the read to some of the visible batches.
+        ``only`` reads these appended batches instead of all visible ones.
         """
-        batches = self.visible_batches(version)
-        if only is not None:
-            batches = [b for b in batches if b in only]
+        batches = self.visible_batches(version) if only is None else sorted(only)
         schema = self.schema(version)
         if not batches:
             return self.spark.createDataFrame([], T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())]))
@@ -349,13 +364,9 @@ class VersionedTable:
 
     # ------------------------------------------------------------ metadata tables
     def snapshots(self) -> DataFrame:
-        """version, committed_at, operation, parent, added_rows (data commits)."""
-        added = (self.files().groupBy("batch_id")
-                 .agg(F.sum("record_count").alias("added_rows")))
-        c = self.commits()
-        return (c.join(added, "batch_id", "left")
-                .select("version", "committed_at", "operation", "parent",
-                        F.coalesce("added_rows", F.lit(0)).alias("added_rows")))
+        """version, committed_at, operation, parent, added_rows: the commit log alone, no data read."""
+        return self.commits().select("version", "committed_at", "operation", "parent",
+                                     F.coalesce("added_rows", F.lit(0)).alias("added_rows"))
 
     def history(self) -> DataFrame:
         """Order in which versions became current; marks ancestors of the current one."""
@@ -372,11 +383,12 @@ class VersionedTable:
                         F.col("version").isin(list(ancestors)).alias("is_current_ancestor"))
 
     def files(self) -> DataFrame:
-        """One row per data file: path, size, record count, batch id."""
-        try:
-            raw = self.spark.read.parquet(self.data_path)
-        except Exception:
-            return self.spark.createDataFrame([], "file_path string, file_size long, record_count long, batch_id long")
+        """One row per data file of a committed batch: path, size, record count, batch id."""
+        committed = [r.batch_id for r in self._log() if r.batch_id is not None]
+        if not committed:
+            return self.spark.createDataFrame([], "file_path string, file_size long, batch_id long, record_count long")
+        # Directories without a commit (a crash, a write in progress) are no part of the table.
+        raw = self.spark.read.parquet(self.data_path).where(F.col("batch_id").isin(committed))
         return (raw.select(F.col("_metadata.file_path").alias("file_path"),
                            F.col("_metadata.file_size").alias("file_size"),
                            F.col("batch_id").cast("long").alias("batch_id"))
@@ -395,15 +407,19 @@ class VersionedTable:
         if not self.keys:
             # Append-only: the difference is whole batches, found from the
             # commit log alone; only those directories are read.
-            b_old, b_new = set(self.visible_batches(v_old)), set(self.visible_batches(v_new))
+            b_old, b_new = set(self.visible_batches(v_old, logical=True)), set(self.visible_batches(v_new, logical=True))
             added = self.log_rows(v_new, b_new - b_old).drop("batch_id").withColumn("change", F.lit("added"))
             removed = self.log_rows(v_old, b_old - b_new).drop("batch_id").withColumn("change", F.lit("removed"))
             return added.unionByName(removed, allowMissingColumns=True)
         old, new = self.snapshot(v_old), self.snapshot(v_new)
         rest = [c for c in new.columns if c not in self.keys]
-        o = old.select(*self.keys, F.struct(*rest).alias("_old"))
-        n = new.select(*self.keys, F.struct(*rest).alias("_new"))
-        j = o.join(n, self.keys, "full_outer")
+        # A column that the old version lacks compares as NULL.
+        was = [F.col(c) if c in old.columns else F.lit(None).cast(new.schema[c].dataType).alias(c) for c in rest]
+        o = old.select(*[F.col(k).alias(f"_o_{k}") for k in self.keys], F.struct(*was).alias("_old"))
+        n = new.select(*[F.col(k).alias(f"_n_{k}") for k in self.keys], F.struct(*rest).alias("_new"))
+        same = reduce(lambda x, y: x & y, [F.col(f"_o_{k}").eqNullSafe(F.col(f"_n_{k}")) for k in self.keys])
+        j = o.join(n, same, "full_outer").select(
+            *[F.coalesce(f"_n_{k}", f"_o_{k}").alias(k) for k in self.keys], "_old", "_new")
         change = (F.when(F.col("_old").isNull(), "added")
                   .when(F.col("_new").isNull(), "removed")
                   .when(~F.col("_old").eqNullSafe(F.col("_new")), "changed"))
@@ -411,9 +427,16 @@ class VersionedTable:
                 .select(*self.keys, "change", "_old", "_new"))
 
     def rows_growing(self) -> DataFrame:
-        """Cumulative row count per commit; flags commits where it did not grow."""
-        s = self.snapshots()
-        w = Window.orderBy("version")  # one row per commit: metadata-sized
-        return (s.select("version", "added_rows")
-                .withColumn("total_rows", F.sum("added_rows").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                .withColumn("growing", F.coalesce(F.col("total_rows") > F.lag("total_rows").over(w), F.lit(True))))
+        """Rows in the append log after each commit; flags commits that did not grow it.
+
+        Only appends add rows: a compaction keeps the total, and a rollback
+        brings back the total of its target.  Read from the commit log alone.
+        """
+        totals: dict[int, int] = {}
+        rows = []
+        for r in self._log():
+            before = totals.get(r.parent, 0)
+            total = totals[r.target] if r.operation == "rollback" else before + (r.added_rows or 0)
+            totals[r.version] = total
+            rows.append((r.version, r.added_rows or 0, total, r.parent is None or total > before))
+        return self.spark.createDataFrame(rows, "version long, added_rows long, total_rows long, growing boolean")

@@ -23,7 +23,7 @@ from .session import scratch_path
 from .sources import messages as msg
 from .sources.objects import list_objects, table_has_files
 from .sources.tables import load_table
-from .sources.trades import TRADES_SQL, load_trades, project_trades
+from .sources.trades import TRADES_SQL, load_trades, project_trades, trades_from_events
 from .streaming import lateness as late
 from .streaming import jobs as sp
 
@@ -162,7 +162,9 @@ SELECT event_id AS id, event_type AS name, value AS amount FROM events WHERE val
 register("time_slice", with_trades("""
 SELECT symbol, ts, price, qty, side, event_time FROM trades
 WHERE event_time >= TIMESTAMP '2024-01-10 00:00:00' AND event_time < TIMESTAMP '2024-01-12 00:00:00'"""))(
-    lambda s, sf: _out_trades(ops.time_slice(_trades(s, sf), "2024-01-10 00:00:00", "2024-01-12 00:00:00")))
+    lambda s, sf: _out_trades(ops.time_slice(
+        trades_from_events(ops.time_slice(load_table(s, sf, "events"), "2024-01-10 00:00:00", "2024-01-12 00:00:00", "ts")),
+        "2024-01-10 00:00:00", "2024-01-12 00:00:00")))
 
 # Unordered LIMIT: which rows is unspecified, so only the row count is checked.
 register("peek")(lambda s, sf: _out_trades(ops.peek(_trades(s, sf), 5)))
@@ -289,7 +291,7 @@ register("parse_trades", with_trades("SELECT symbol, ts, price, qty, side, seq,
 
 register("parse_trades_strict", with_trades("SELECT symbol, ts, price, qty, side, seq, event_time FROM trades"))(
     lambda s, sf: _trade_out(msg.good_trades(
-        msg.parse_trades(_messages(s, sf), mode="strict").withColumn("quarantined", F.lit(False)))))
+        msg.parse_trades(_messages(s, sf), mode="strict"))))
 
 register("parse_trades_lenient", with_trades("""
 SELECT symbol, ts, price, qty, side, seq, event_time FROM trades

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.time import event_time
+from ..plans.layout import bucket_of
 from .trades import TRADE_COLUMNS, TRADE_SCHEMA
 
 CORRUPT = "_corrupt"
@@ -27,12 +28,17 @@ def parse_trades(messages: DataFrame, value_col: str = "value", mode: str = "len
     ``_corrupt``; empty text, NULL and objects without any trade field come
     back all-NULL.  Both kinds get ``quarantined = true``.  Rows with only
     some fields missing are kept (missing fields are NULL).
-    strict: the first malformed message fails the query (FAILFAST).
+    strict: the first message that lenient parsing would quarantine fails the
+    query: malformed text by FAILFAST, empty, NULL or fieldless text by its own
+    check.  ``quarantined`` is there too, always false.
     """
     if mode == "strict":
         parsed = messages.withColumn(
             "_m", F.from_json(F.col(value_col).cast("string"), TRADE_SCHEMA, {"mode": "FAILFAST"}))
-        return parsed.select(*[c for c in messages.columns], *[F.col(f"_m.{c}").alias(c) for c in TRADE_COLUMNS])
+        empty: Column = reduce(lambda a, b: a & b, [F.col(f"_m.{c}").isNull() for c in TRADE_COLUMNS])
+        return parsed.select(*messages.columns, *[F.col(f"_m.{c}").alias(c) for c in TRADE_COLUMNS],
+                             F.when(empty, F.raise_error(F.lit("message without a trade")).cast("boolean"))
+                             .otherwise(F.lit(False)).alias("quarantined"))
     if mode != "lenient":
         raise ValueError(f"mode must be 'lenient' or 'strict', not {mode!r}")
     parsed = messages.withColumn(
@@ -64,7 +70,7 @@ def partition_for(key: Column, n: int) -> Column:
     A stand-in for a producer's partitioner (not Kafka's murmur2); one key
     always maps to one partition, and the rule is reproducible in SQL.
     """
-    return (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % F.lit(n)).cast("int")
+    return bucket_of(key, n)
 
 
 def to_messages(trades: DataFrame, key_col: str = "symbol", partitions: int = 3,

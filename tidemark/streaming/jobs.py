@@ -67,10 +67,7 @@ def trade_stream(messages: DataFrame, lateness: str | None = "5 seconds",
                  mode: str = "lenient") -> DataFrame:
     """Parse (lenient: bad rows skipped; strict: the query fails on one),
     offset as seq, event-time watermark (on TIMESTAMP, not NTZ)."""
-    parsed = parse_trades(messages, mode=mode)
-    if mode == "strict":
-        parsed = parsed.withColumn("quarantined", F.lit(False))
-    t = good_trades(parsed)
+    t = good_trades(parse_trades(messages, mode=mode))
     return t.withWatermark("event_time", lateness) if lateness else t
 
 

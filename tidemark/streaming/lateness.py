@@ -41,7 +41,11 @@ def prefix_max_before(rows: DataFrame, order: str, value: str, block: int = 4096
     else:
         over_blocks = Window.partitionBy(*g).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
         blocks = blocks.withColumn(before, F.max("_bmax").over(over_blocks)).drop("_bmax")
-    return (b.join(blocks, [*g, blk], "left")
+    # Null-safe on the group: a NULL key is a key like others.
+    same = F.col(f"l.{blk}") == F.col(f"r.{blk}")
+    for c in g:
+        same = same & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    return (b.alias("l").join(blocks.alias("r"), same, "left").select("l.*", f"r.{before}")
             .withColumn(f"{value}_before", F.greatest(inner, before))
             .drop(blk, inner, before))
 
