@@ -277,3 +277,15 @@ def test_oracle(spark, name):
     want = con.execute(ORACLE[name])
     cols = [c[0] for c in want.description]
     assert sorted(map(repr, want.fetchall())) == sorted(repr(tuple(r)) for r in QUERIES[name](spark, SF).select(*cols).collect())
+
+
+@pytest.mark.parametrize("most", [1, 7, 300, 5000])
+def test_bounded_sample_takes_the_smallest_hashes(spark, most):
+    from tidemark.llm.common import bounded_sample
+    rows = spark.range(4000).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") < 9, "few").otherwise("rest").alias("lang"),
+                                    F.concat(F.lit("t"), F.col("id") % 900).alias("text"))
+    ranked = {}
+    for r in rows.select("lang", "text", F.xxhash64("text").alias("h")).distinct().collect():
+        ranked.setdefault(r["lang"], []).append((r["h"], r["text"]))
+    want = sorted((g, t) for g, found in ranked.items() for _, t in sorted(found)[:most])
+    assert sorted(map(tuple, bounded_sample(rows, "lang", "text", most).select("lang", "text").collect())) == want

@@ -11,6 +11,7 @@ from tidemark.session import scratch_path
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 HASH_CHUNK = 1 << 21
+HASH_BITS = 16
 MANY_GROUPS = 10_000  # rows of two values; more than these are not broadcast
 
 _IS_SPACE = np.zeros(256, dtype=bool)
@@ -151,13 +152,23 @@ def bounded_sample(rows: DataFrame, group: str, text: str, most: int) -> DataFra
     """At most ``most`` distinct texts of each group: those with the smallest hashes, one row for each.
 
     The cut-off comes from hashes alone, so texts move only if they are chosen,
-    and copies of one text count once.
+    and copies of one text count once.  Hashes are first counted by their leading
+    ``HASH_BITS`` bits, summed before the shuffle; only those up to the range in
+    which the group reaches ``most`` are ranked.  So no task holds a group: it
+    holds 2^HASH_BITS counts, or ``most`` hashes and one range of them.
     """
     hashed = rows.withColumn("h", F.xxhash64(text))
-    order = Window.partitionBy(group).orderBy("h")
-    cuts = saved(hashed.select(group, "h").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= most)
-                 .groupBy(F.col(group).alias("g")).agg(F.max("h").alias("cut")), "sample-cuts")
-    return hashed.join(F.broadcast(cuts) if cuts.count() <= MANY_GROUPS else cuts, F.col(group) == F.col("g")).where(F.col("h") <= F.col("cut")).dropDuplicates([group, "h"]).drop("h", "g", "cut")
+    seen = saved(hashed.select(F.col(group).alias("g"), "h").distinct().withColumn("range", F.shiftright("h", 64 - HASH_BITS)), "sample-hashes")
+    before = Window.partitionBy("g").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    needed = (seen.groupBy("g", "range").agg(F.count("*").alias("n"))
+              .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < most)
+              .select(F.col("g").alias("n_g"), F.col("range").alias("n_range")))
+    near = seen.join(needed, F.col("g").eqNullSafe(F.col("n_g")) & (F.col("range") == F.col("n_range")))
+    order = Window.partitionBy("g").orderBy("h")
+    cuts = saved(near.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most)
+                 .groupBy("g").agg(F.max("h").alias("cut")), "sample-cuts")
+    return (hashed.join(F.broadcast(cuts) if cuts.count() <= MANY_GROUPS else cuts, F.col(group) == F.col("g"))
+            .where(F.col("h") <= F.col("cut")).dropDuplicates([group, "h"]).drop("h", "g", "cut"))
 
 
 def chunks(texts: list, limit: int):
