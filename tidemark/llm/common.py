@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
@@ -171,6 +173,23 @@ def bounded_sample(rows: DataFrame, group: str, text: str, most: int) -> DataFra
             .where(F.col("h") <= F.col("cut")).dropDuplicates([group, "h"]).drop("h", "g", "cut"))
 
 
+def text_column(batch: pa.RecordBatch, payload_text: str | None) -> pa.Array:
+    """The texts of a batch: its column text, or the field ``payload_text`` of the whole row in ``doc``."""
+    return batch.column("text") if payload_text is None else pc.struct_field(batch.column("doc"), payload_text).cast(pa.string())
+
+
+def pieces(batch: pa.RecordBatch, limit: int, rows: int, payload_text: str | None = None):
+    """(slice, texts) of a batch: few rows and about ``limit`` characters at a time, whole texts.
+
+    Only the texts of one slice are Python strings at any time.
+    """
+    for i in range(0, batch.num_rows, rows):
+        part = batch.slice(i, rows)
+        texts = text_column(part, payload_text).to_pylist()
+        for a, b in chunks(texts, limit):
+            yield part.slice(a, b - a), texts[a:b]
+
+
 def chunks(texts: list, limit: int):
     """(from, to) ranges of texts of about ``limit`` characters; a longer text stands alone."""
     at = size = 0

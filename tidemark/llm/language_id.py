@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import bounded_sample, chunks, crc_remainder, extended, saved
+from tidemark.llm.common import bounded_sample, crc_remainder, extended, pieces, saved
 
 DIMENSIONS = 4096
 SAMPLE = 800
@@ -72,15 +72,6 @@ def vectors(texts: list[str | None], idf: np.ndarray) -> np.ndarray:
     return rows / np.where(size > 0, size, 1)
 
 
-def _pieces(batch: pa.RecordBatch):
-    """(slice, texts) of a batch, few rows and little text at a time."""
-    for i in range(0, batch.num_rows, ROWS):
-        part = batch.slice(i, ROWS)
-        texts = part.column("text").to_pylist()
-        for a, b in chunks(texts, TEXT_CHUNK):
-            yield part.slice(a, b - a), texts[a:b]
-
-
 def _centroids(x: np.ndarray) -> tuple[np.ndarray, float]:
     """Spherical k-means from far-apart seeds, and the least cosine of a member with its centroid."""
     seeds = [x.mean(0)]
@@ -102,7 +93,7 @@ def fit(train: DataFrame) -> dict:
     def frequencies(batches):
         total, n = np.zeros(DIMENSIONS, np.int64), 0
         for batch in batches:
-            for part, texts in _pieces(batch):
+            for part, texts in pieces(batch, TEXT_CHUNK, ROWS):
                 total, n = total + (counted(texts) > 0).sum(0), n + len(texts)
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.tolist()], pa.list_(pa.int64()))], names=["n", "df"])
 
@@ -112,7 +103,7 @@ def fit(train: DataFrame) -> dict:
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
 
     def cluster(table: pa.Table) -> pa.Table:
-        x = np.concatenate([vectors(t, idf) for b in table.to_batches() for _, t in _pieces(b)])
+        x = np.concatenate([vectors(t, idf) for b in table.to_batches() for _, t in pieces(b, TEXT_CHUNK, ROWS)])
         x = x[x.any(1)]
         c, least = _centroids(x) if len(x) else (np.empty((0, DIMENSIONS), np.float32), 0.0)
         return pa.table({"lang": pa.array([table.column("lang")[0].as_py()] * len(c), pa.string()),
@@ -124,14 +115,17 @@ def fit(train: DataFrame) -> dict:
             "centroids": np.array([np.frombuffer(r["centroid"], "<f4") for r in found], np.float32).reshape(len(found), DIMENSIONS)}
 
 
-def predict(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
-    """``keep``, lang_pred, score (cosine, 0 to 1), rejected; docs has the column text."""
+def predict(docs: DataFrame, model: dict, keep: list[str], payload_text: str | None = None) -> DataFrame:
+    """``keep``, lang_pred, score (cosine, 0 to 1), rejected; docs has the column text.
+
+    With ``payload_text`` the text is that field of the kept column doc, so it travels once.
+    """
     langs, centroids, idf = np.array(model["langs"], object), model["centroids"], model["idf"]
     floor = LEEWAY * model["least"]
 
     def run(batches):
         for batch in batches:
-            for part, texts in _pieces(batch):
+            for part, texts in pieces(batch, TEXT_CHUNK, ROWS, payload_text):
                 x = vectors(texts, idf)
                 grams = (x > 0).sum(1)
                 some = grams > 0
@@ -146,7 +140,8 @@ def predict(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
                     [*(part.column(c) for c in keep), pa.array(np.where(some, lang, "und").tolist(), pa.string()),
                      pa.array(np.where(some, score, 0.0)), pa.array(rejected)], names=[*keep, "lang_pred", "score", "rejected"])
 
-    return docs.select(*keep, "text").mapInArrow(run, extended(docs.select(*keep).schema, "lang_pred string, score double, rejected boolean"))
+    asked = docs.select(*keep) if payload_text else docs.select(*keep, "text")
+    return asked.mapInArrow(run, extended(docs.select(*keep).schema, "lang_pred string, score double, rejected boolean"))
 
 
 def identify(docs: DataFrame, folds: int = 5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -163,7 +158,7 @@ def identify(docs: DataFrame, folds: int = 5, id_col: str = "doc_id", text_col:
     held = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), docs[lang_col].cast("string").alias("lang"), *doc)
     held = held.withColumn("held_out", crc_remainder("id", folds) == 0)
     model = fit(held.where("not held_out").select("text", "lang"))
-    out = predict(held, model, ["id", "held_out", *(["doc"] if payload else [])])
+    out = predict(held, model, ["id", "held_out", *(["doc"] if payload else [])], text_col if payload else None)
     return out.withColumnRenamed("id", id_col)
 
 

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import as_bytes, bounded_sample, chunks, crc_remainder, extended, mixed, own_columns, saved, word_hashes, words_of
+from tidemark.llm.common import as_bytes, bounded_sample, chunks, crc_remainder, extended, mixed, own_columns, pieces, saved, word_hashes, words_of
 
 SAMPLE = 2500        # labelled texts of each class that choose the terms
 TERMS = 2048         # terms at most
@@ -33,6 +33,7 @@ BLOCK = 64
 PRIOR = 0.25
 THRESHOLD = 0.3
 TEXT_CHUNK = 1 << 18
+ROWS = 256
 FILTER_BITS = 18
 
 _TO_SPACE = np.arange(256, dtype=np.uint8)
@@ -95,18 +96,20 @@ def choose_terms(sample: DataFrame) -> np.ndarray:
     return np.sort(rows.column("term").to_numpy().view(np.uint64))
 
 
-def with_terms(docs: DataFrame, chosen: np.ndarray, keep: list[str]) -> DataFrame:
-    """``keep``, ids (positions of the text's chosen terms, in order) and counts for each row."""
+def with_terms(docs: DataFrame, chosen: np.ndarray, keep: list[str], payload_text: str | None = None) -> DataFrame:
+    """``keep``, ids (positions of the text's chosen terms, in order) and counts for each row.
+
+    With ``payload_text`` the text is that field of the kept column doc, so it travels once.
+    """
     mask = np.uint64((1 << FILTER_BITS) - 1)
     maybe = np.zeros(1 << FILTER_BITS, bool)
     maybe[(chosen & mask).astype(np.int64)] = True
 
     def run(batches):
         for whole in batches:
-            texts = whole.column("text").to_pylist()
-            for a, b in chunks(texts, TEXT_CHUNK):
+            for part, texts in pieces(whole, TEXT_CHUNK, ROWS, payload_text):
                 owners, found = [], []
-                for owner, term in terms(texts[a:b]) if len(chosen) else []:
+                for owner, term in terms(texts) if len(chosen) else []:
                     hit = np.flatnonzero(maybe[(term & mask).astype(np.int64)])
                     at = np.minimum(np.searchsorted(chosen, term[hit]), len(chosen) - 1)
                     right = chosen[at] == term[hit]
@@ -114,13 +117,13 @@ def with_terms(docs: DataFrame, chosen: np.ndarray, keep: list[str]) -> DataFram
                     found.append(at[right])
                 empty = np.empty(0, np.int64)
                 owner, term, n = _distinct(np.concatenate([*owners, empty]), np.concatenate([*found, empty]))
-                cuts = pa.array(np.searchsorted(owner, np.arange(b - a + 1)).astype(np.int32))
-                part = whole.slice(a, b - a)
+                cuts = pa.array(np.searchsorted(owner, np.arange(len(texts) + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in keep), pa.ListArray.from_arrays(cuts, pa.array(term.astype(np.int32))),
                      pa.ListArray.from_arrays(cuts, pa.array(n.astype(np.int32)))], names=[*keep, "ids", "counts"])
 
-    return docs.select(*keep, "text").mapInArrow(run, extended(docs.select(*keep).schema, "ids array<int>, counts array<int>"))
+    asked = docs.select(*keep) if payload_text else docs.select(*keep, "text")
+    return asked.mapInArrow(run, extended(docs.select(*keep).schema, "ids array<int>, counts array<int>"))
 
 
 def _frequencies(found: DataFrame, size: int) -> DataFrame:
@@ -253,7 +256,7 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold: int = 2
 
     # With whole rows the terms are found once more, which is cheaper than keeping a second copy of the texts.
     keep = ["id", "doc"] if payload else ["id"]
-    asked = with_terms(held, chosen, keep) if payload else found
+    asked = with_terms(held, chosen, keep, text_col) if payload else found
     scored = asked.mapInArrow(run, extended(asked.select(*keep).schema, "score double, evidence array<struct<similarity: double, toxic: double>>"))
     return scored.select(F.col("id").alias(id_col), (crc_remainder("id", folds) == held_fold).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence", *(["doc"] if payload else []))
