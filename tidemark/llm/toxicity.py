@@ -35,6 +35,7 @@ THRESHOLD = 0.3
 TEXT_CHUNK = 1 << 18
 ROWS = 256
 FILTER_BITS = 18
+TASK_ROWS = 1 << 12    # rows to score in a task, at least
 
 _TO_SPACE = np.arange(256, dtype=np.uint8)
 _TO_SPACE[[i for i in range(128) if not chr(i).isalnum()]] = 32
@@ -256,7 +257,9 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold: int = 2
 
     # With whole rows the terms are found once more, which is cheaper than keeping a second copy of the texts.
     keep = ["id", "doc"] if payload else ["id"]
-    asked = with_terms(held, chosen, keep, text_col) if payload else found
+    # Term lists are few bytes but many similarities: they are dealt evenly by rows, not by file size.
+    tasks = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + n // TASK_ROWS)
+    asked = with_terms(held, chosen, keep, text_col) if payload else found.repartition(tasks)
     scored = asked.mapInArrow(run, extended(asked.select(*keep).schema, "score double, evidence array<struct<similarity: double, toxic: double>>"))
     return scored.select(F.col("id").alias(id_col), (crc_remainder("id", folds) == held_fold).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence", *(["doc"] if payload else []))
