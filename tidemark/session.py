@@ -15,13 +15,15 @@ from pyspark.sql import SparkSession
 # Settings every tidemark job relies on.  AQE re-plans shuffles at runtime
 # (coalescing small partitions, splitting skewed ones); the broadcast
 # threshold stays at Spark's size-checked default so only sides whose
-# measured size is under it are ever broadcast.
+# measured size is under it are ever broadcast.  Arrow batches to Python are
+# bounded by bytes, not only by rows, so long texts don't fill a worker.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.streaming.noDataMicroBatches.enabled": "true",
 }
