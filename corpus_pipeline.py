@@ -2,7 +2,8 @@
 
 Toxic documents go, then documents in no known language, then all but one of
 each group of SimHash near-duplicates; the rest is mixed to the sources' target
-weights (a document taken twice stands twice) and packed into windows.
+weights (a document taken twice stands twice) and packed into windows.  Every
+stage sets the library's session settings, so that it may also be run alone.
 """
 
 from __future__ import annotations
@@ -14,25 +15,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import language_id, mixing, packing, simhash, toxicity
 from tidemark.llm.common import saved
+from tidemark.session import configure
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return toxicity.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.accepted(docs, configure(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     return language_id.identified(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     return simhash.one_of_each(docs, shingle_words=4, radius=4)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, window=4096, with_ids=False)
 
 
