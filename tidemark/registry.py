@@ -686,14 +686,45 @@ def _multi_sink(spark, sf):
         "buys": (lambda d: d.where(F.col("side") == "BUY").select("symbol", "ts", "price", "qty", "seq"),
                  f"{base}/buys"),
     }, f"{base}/ckpt")
-    raw = spark.read.parquet(f"{base}/raw").agg(F.count(F.lit(1)).alias("row_count")).withColumn("branch", F.lit("raw"))
-    buys = spark.read.parquet(f"{base}/buys").agg(F.count(F.lit(1)).alias("row_count")).withColumn("branch", F.lit("buys"))
-    return raw.unionByName(buys)
+    kept = ["symbol", "ts", "price", "qty", "seq"]
+    raw = spark.read.parquet(f"{base}/raw").select(F.lit("raw").alias("branch"), *kept)
+    return raw.unionByName(spark.read.parquet(f"{base}/buys").select(F.lit("buys").alias("branch"), *kept))
 
 
 register("run_multi_sink", with_trades("""
-SELECT 'raw' AS branch, count(*) AS row_count FROM trades
-UNION ALL SELECT 'buys', count(*) FROM trades WHERE side = 'BUY'"""))(_multi_sink)
+SELECT 'raw' AS branch, symbol, ts, price, qty, seq FROM trades
+UNION ALL SELECT 'buys', symbol, ts, price, qty, seq FROM trades WHERE side = 'BUY'"""))(_multi_sink)
+
+
+def _raw_and_bars(spark, sf):
+    """One read of the messages fills the trade log, and the log fills the 1-minute
+    bars, in several micro-batches with a restart between the input's halves.
+    Returns the rows of both stored tables.  Bars stay open for later rows, so the
+    order in which files arrive does not matter."""
+    base = scratch_path(spark, "raw_and_bars_stream")
+    m = _messages(spark, sf)
+    at = F.get_json_object("value", "$.ts").cast("long")
+    cut = F.unix_millis(F.lit(_HALF).cast("timestamp"))
+    for part in (m.where(at < cut), m.where((at >= cut) | at.isNull())):
+        sp.write_message_files(part, f"{base}/in")
+        sp.append_log(sp.trade_stream(sp.message_stream(spark, f"{base}/in", max_files=1), None),
+                      f"{base}/raw", f"{base}/ckpt_raw")
+        sp.stream_bars(sp.log_stream(spark, f"{base}/raw", None, max_files=1), f"{base}/bars", f"{base}/ckpt_bars",
+                       "1 minute", "upsert")
+    raw = _read_log(spark, f"{base}/raw").select(
+        F.lit("raw_trades").alias("target"), "symbol", F.col("event_time").alias("at"), "seq", "price", "qty",
+        F.lit(None).cast("long").alias("trade_count"))
+    bars = sp.read_upsert_bars(spark, f"{base}/bars").select(
+        F.lit("bars_1m").alias("target"), "symbol", F.col("window_start").alias("at"), F.lit(None).cast("long").alias("seq"),
+        F.col("close_price").alias("price"), F.col("total_qty").alias("qty"), "trade_count")
+    return raw.unionByName(bars)
+
+
+register("raw_and_bars_stream", with_trades(f"""
+SELECT 'raw_trades' AS target, symbol, event_time AS at, seq, price, qty, CAST(NULL AS BIGINT) AS trade_count FROM trades
+UNION ALL
+SELECT 'bars_1m', symbol, window_start, CAST(NULL AS BIGINT), close_price, total_qty, trade_count
+FROM ({_BAR_SQL.format(unit="minute")})"""))(_raw_and_bars)
 
 
 def _sessions_stream(spark, sf):

@@ -46,12 +46,12 @@ def read_trade_stream(spark: SparkSession, topic: str, servers: str, start: str
     return trade_stream(message_envelope(raw), lateness, mode)
 
 
-def read_trade_batch(spark: SparkSession, topic: str, servers: str) -> DataFrame:
+def read_trade_batch(spark: SparkSession, topic: str, servers: str, mode: str = "lenient") -> DataFrame:
     """Bounded read: everything from the earliest to the latest offset now."""
     raw = (spark.read.format("kafka")
            .options(**kafka_source_options(topic, servers, "earliest"))
            .option("endingOffsets", "latest").load())
-    return good_trades(parse_trades(message_envelope(raw)))
+    return good_trades(parse_trades(message_envelope(raw), mode=mode))
 
 
 def kafka_sink_options(topic: str, servers: str, acks: str = "all", retries: int = 3) -> dict[str, str]:
