@@ -237,6 +237,20 @@ def test_toxicity(spark, odd):
     assert toxicity.accepted(odd, labels).columns == odd.columns
 
 
+def test_toxicity_terms_of_both_labels_without_a_cap(spark):
+    letters = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3)) * 3
+    groups = [[letters(100 * g + i) for i in range(100)] for g in range(10)]
+    texts = [(f"{' '.join(groups[i % 10])} x{i}", 1) for i in range(100)] + [(f"harmless text y{i}", 0) for i in range(600)]
+    chosen = toxicity.choose_terms(spark.createDataFrame(texts, "text string, toxic int").withColumn("weight", F.lit(1.0)), 100, 700)
+    wanted = np.concatenate([t for _, t in toxicity.terms([" ".join(sum(groups, [])) + " harmless"])])
+    assert len(chosen) > 2048 and np.isin(wanted, chosen).all()
+    rows = [(i, t, x) for i, (t, x) in enumerate(texts)] + [(1000 + i, w, None) for i, w in enumerate(sum(groups, []))] + [(5000, "harmless", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.score(docs.drop("toxic"), docs.select("doc_id", "toxic")).collect()}
+    assert all(got[1000 + i]["evidence"] and got[1000 + i]["evidence"][0]["toxic"] == 1 for i in range(1000))
+    assert got[5000]["predicted"] == 0 and got[5000]["evidence"][0]["toxic"] == 0
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(5)
     idf = rng.uniform(1, 5, 50)

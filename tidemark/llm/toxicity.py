@@ -1,9 +1,9 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 Terms are words and the 5- and 6-byte n-grams of words (a leading blank marks the
-word's start).  A bounded, class-balanced sample of labelled texts chooses the
-terms that go with the toxic label by a chi-square test; their document frequencies
-are counted over all documents.  The distinct term vectors of labelled documents
+word's start).  The terms that go with either label by a chi-square test over all
+distinct labelled texts to learn from are used, however many; their document
+frequencies are counted over all documents.  The distinct term vectors of labelled documents
 are the examples; they carry how many toxic and clean documents they stand for.
 
 The examples form a block-max inverted index: postings by term, examples in
@@ -18,15 +18,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import as_bytes, bounded_sample, chunks, crc_remainder, extended, mixed, own_columns, pieces, saved, word_hashes, words_of
+from tidemark.llm.common import as_bytes, chunks, crc_remainder, extended, mixed, own_columns, pieces, saved, word_hashes, words_of
 
-SAMPLE = 2500        # labelled texts of each class that choose the terms
-TERMS = 2048         # terms at most
 EXAMPLES = 8192      # distinct term vectors at most
-CHI_SQUARE = 25.0
-LEAST_TEXTS = 4      # of the sample that a term must stand in
+CHI_SQUARE = 10.83   # one term in a thousand passes by chance
+SLOTS = 1 << 20      # of ids that have a label
+LEAST_TEXTS = 4      # labelled texts that a term must stand in
+COUNTED = 1 << 20    # counts of terms that a task holds before it hands them on
 GRAMS = (5, 6)
 NEIGHBOURS = 16
 BLOCK = 64
@@ -72,28 +72,51 @@ def _distinct(owner: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return owner[first], term[first], np.diff(np.append(first, len(owner)))
 
 
-def choose_terms(sample: DataFrame) -> np.ndarray:
-    """Hashes of the terms that go with the toxic label, from (text, toxic); at most ``TERMS``."""
+def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(term, toxic texts, texts) with every term once."""
+    term, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    pos, every = (np.bincount(inverse, weights=np.concatenate([p[k] for p in parts]), minlength=len(term)) for k in (1, 2))
+    return term, pos, every
+
+
+def choose_terms(labelled: DataFrame, p: int, n: int) -> np.ndarray:
+    """Hashes of the terms that go with a label, toxic or clean, from (text, toxic, weight) of all labelled texts.
+
+    The weights of a distinct text's rows add up to one; ``p`` of ``n`` distinct texts are toxic.
+    """
     def count(batches):
+        parts, size = [], 0
         for whole in batches:
-            texts, toxic = whole.column("text").to_pylist(), whole.column("toxic").to_numpy(zero_copy_only=False)
-            for a, b in chunks(texts, TEXT_CHUNK):
-                found = [_distinct(o, t) for o, t in terms(texts[a:b])]
-                owner = np.concatenate([f[0] for f in found])
-                term, inverse = np.unique(np.concatenate([f[1] for f in found]), return_inverse=True)
-                pos = np.bincount(inverse, weights=toxic[a:b][owner], minlength=len(term)).astype(np.int64)
-                every = np.bincount(inverse, minlength=len(term))
-                yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(pos), pa.array(every)], names=["term", "pos", "n"])
-
-    p, n = sample.agg(F.count_if(F.expr("toxic = 1")), F.count("*")).first()
+            marks, weights = (whole.column(c).to_numpy(zero_copy_only=False) for c in ("toxic", "weight"))
+            done = 0
+            for _, texts in pieces(whole, TEXT_CHUNK, ROWS):
+                z, done = slice(done, done + len(texts)), done + len(texts)
+                found = [_distinct(o, t) for o, t in terms(texts)]
+                owner, term = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+                parts.append(_summed([(term, (marks[z] * weights[z])[owner], weights[z][owner])]))
+                size += len(parts[-1][0])
+                if size > COUNTED:
+                    parts = [_summed(parts)]
+                    size = len(parts[0][0])
+                    if size > COUNTED // 2:
+                        yield from handed_on(parts[0])
+                        parts, size = [], 0
+        if parts:
+            yield from handed_on(_summed(parts))
+
+    def handed_on(counts):
+        term, pos, every = counts
+        for a in range(0, len(term), 1 << 16):
+            z = slice(a, a + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(term[z].view(np.int64)), pa.array(pos[z]), pa.array(every[z])], names=["term", "pos", "n"])
+
     if not p or p == n:
         return np.empty(0, np.uint64)
-    counts = sample.select("text", "toxic").mapInArrow(count, "term long, pos long, n long").groupBy("term").agg(
-        F.sum("pos").alias("a"), F.sum("n").alias("k"))
-    a, k = F.col("a").cast("double"), F.col("k").cast("double")
+    counts = labelled.select("text", "toxic", "weight").mapInArrow(count, "term long, pos double, n double").groupBy("term").agg(
+        F.round(F.sum("pos")).alias("a"), F.round(F.sum("n")).alias("k"))
+    a, k = F.col("a"), F.col("k")
     chi = F.lit(float(n)) * F.pow(a * n - k * p, 2) / (k * (n - k) * F.lit(float(p)) * (n - p))
-    rows = (counts.where((F.col("k") < n) & (F.col("k") >= LEAST_TEXTS) & (a * n > k * p)).withColumn("chi", chi).where(F.col("chi") >= CHI_SQUARE)
-            .orderBy(F.desc("chi"), "term").limit(TERMS).select("term").toArrow())
+    rows = counts.where((F.col("k") < n) & (F.col("k") >= LEAST_TEXTS)).where(chi >= CHI_SQUARE).select("term").toArrow()
     return np.sort(rows.column("term").to_numpy().view(np.uint64))
 
 
@@ -156,6 +179,8 @@ class Index:
         self.owner, self.weight = owner[order], weight[order]
         self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
         self.blocks = -(-len(examples) // BLOCK)
+        self.of = np.arange(len(examples)) // BLOCK
+        self.block = self.of[self.owner].astype(np.uint16)
         self.most = np.zeros((len(idf), max(1, self.blocks)))
         np.maximum.at(self.most, (term, owner // BLOCK), weight)
 
@@ -173,15 +198,17 @@ class Index:
         take, best, similar = 0, np.empty(0, np.int64), np.empty(0)
         while take < self.blocks and bound[ranked[take]] > 0:
             least = similar[NEIGHBOURS - 1] if len(similar) >= NEIGHBOURS else 0.0
-            step = ranked[take: take + max(2, take)]
+            step = ranked[take:] if take else ranked[:2]
             step = step[bound[step] >= least - 1e-12]
             if not len(step):
                 break
             open_ = np.zeros(self.blocks, bool)
             open_[step] = True
-            inside = open_[owner // BLOCK]
+            # With most blocks open, adding up all postings is cheaper than picking out those of the open blocks.
+            inside = slice(None) if 2 * len(step) > self.blocks else open_[np.concatenate([self.block[s] for s in spans])]
             score = np.bincount(owner[inside], weights=part[inside], minlength=len(self.toxic))
             some = np.flatnonzero(score)
+            some = some[open_[self.of[some]]]
             best, similar = np.concatenate([best, some]), np.concatenate([similar, score[some]])
             order = np.lexsort((best, -similar))[:NEIGHBOURS]
             best, similar = best[order], similar[order]
@@ -217,25 +244,32 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold: int = 2
     marks = own_columns(labels, of=id_col, toxic=label_col).where("of is not null and toxic is not null")
     marks = marks.groupBy("of").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     learnt = marks.where(crc_remainder("of", folds) != held_fold)
-    # Ids and hashes choose the sample; then its texts are fetched: 2 * SAMPLE rows at most are broadcast.
+    # Every distinct text of a label weighs one.  Texts are moved only if their id's slot has a label: SLOTS rows at most are broadcast.
     light = held.where("text is not null").select("id", F.xxhash64("text").alias("key"))
-    picked = bounded_sample(light.join(learnt, F.col("id") == F.col("of")).select("id", "key", "toxic"), "toxic", "key", SAMPLE)
-    picked = saved(picked.select(F.col("id").alias("p_id"), "key", "toxic"), "toxicity-picked")
-    sample = held.where("text is not null").join(
-        F.broadcast(picked), (F.col("id") == F.col("p_id")) & (F.xxhash64("text") == F.col("key"))).dropDuplicates(["toxic", "key"])
-    chosen = choose_terms(saved(sample.select("text", "toxic"), "toxicity-sample"))
+    weights = (light.join(learnt, F.col("id") == F.col("of")).groupBy("id", "key", "toxic").agg(F.count("*").alias("n"))
+               .withColumn("rows", F.sum("n").over(Window.partitionBy("key", "toxic"))))
+    weights = saved(weights.select(F.col("id").alias("w_id"), F.col("key").alias("w_key"), "toxic", (1 / F.col("rows")).alias("weight")), "toxicity-weights")
+    slots = weights.select(F.pmod(F.xxhash64("w_id"), F.lit(SLOTS)).alias("slot")).distinct()
+    near = held.where("text is not null").select("id", "text").join(F.broadcast(slots), F.pmod(F.xxhash64("id"), F.lit(SLOTS)) == F.col("slot"), "left_semi")
+    labelled = near.join(weights, (F.col("id") == F.col("w_id")) & (F.xxhash64("text") == F.col("w_key"))).select("text", "toxic", "weight")
+    p, texts = (round(v or 0) for v in weights.join(light, (F.col("id") == F.col("w_id")) & (F.col("key") == F.col("w_key"))).agg(
+        F.sum(F.when(F.expr("toxic = 1"), F.col("weight"))), F.sum("weight")).first())
+    chosen = choose_terms(labelled, p, texts)
     found = saved(with_terms(held, chosen, ["id"]), "toxicity-terms")
     n = found.count()
     df = np.zeros(len(chosen), np.int64)
     for r in _frequencies(found, len(chosen)).collect():  # one row for each chosen term
         df[r["t"]] = r["n"]
     idf = np.log((1 + n) / (1 + df)) + 1
-    labelled = found.select("id", "ids", "counts").join(learnt, F.col("id") == F.col("of"))
+    # Two hashes stand for a term vector until the examples are chosen, so that only their vectors move.
+    hashes = (F.xxhash64("ids", "counts").alias("h"), F.xxhash64("counts", "ids").alias("h2"))
+    labelled = found.select("id", F.size("ids").alias("size"), *hashes).join(learnt, F.col("id") == F.col("of"))
     total, toxic, bare, bare_toxic = (v or 0 for v in labelled.agg(
-        F.count("*"), F.sum("toxic"), F.count_if(F.size("ids") == 0), F.sum(F.when(F.size("ids") == 0, F.col("toxic")))).first())
+        F.count("*"), F.sum("toxic"), F.count_if(F.expr("size = 0")), F.sum(F.expr("if(size = 0, toxic, null)"))).first())
     prior = toxic / total if total else 0.0
-    rows = (labelled.where("size(ids) > 0").groupBy("ids", "counts").agg(F.sum("toxic").alias("pos"), F.count("*").alias("n"))
-            .orderBy(F.xxhash64("ids", "counts")).limit(EXAMPLES).collect())
+    picked = saved(labelled.where("size > 0").groupBy("h", "h2").agg(F.sum("toxic").alias("pos"), F.count("*").alias("n"))
+                   .orderBy("h", "h2").limit(EXAMPLES), "toxicity-picked")
+    rows = found.select("ids", "counts", *hashes).join(F.broadcast(picked), ["h", "h2"]).dropDuplicates(["h", "h2"]).orderBy("h", "h2").collect()
     index = Index([(r["ids"], r["counts"], r["pos"], r["n"] - r["pos"]) for r in rows], idf, prior,
                   (bare_toxic + PRIOR * prior) / (bare + PRIOR))
 
