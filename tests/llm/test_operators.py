@@ -205,6 +205,14 @@ def test_license_scan(spark, odd):
     assert license_scan.scan(odd).count() == odd.count()
 
 
+def test_license_scan_behind_comment_and_list_marks(spark):
+    texts = [' * Licensed under the Apache License, Version 2.0\n *\n * You may not use this file except\n * in compliance with the License.',
+             "# Licensed under the Apache License, Version 2.0", "// This work is licensed under the\n// GNU General Public License, version 3.",
+             "- Released under the MIT License.", "/* -- \"All rights reserved.\" */", "* * *\n# # released", "- \u00a0\u2003Released under the MIT License"]
+    got = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["licences"] for r in got] == [["Apache-2.0"], ["Apache-2.0"], ["GPL-3.0-only"], ["MIT"], ["proprietary"], [], ["MIT"]]
+
+
 def test_packing(spark, odd):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").union(odd.where("doc_id > 1").selectExpr("doc_id + 1000", "text"))
     pieces = packing.pack(docs.repartition(4), TOKENIZER).toPandas()

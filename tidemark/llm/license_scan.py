@@ -44,6 +44,7 @@ MOST_LINES = 8  # that a known sentence may be broken over
 
 _FRAGMENT = re.compile(r"[^\n]+?(?:[.!?](?=\s|$)|$)", re.MULTILINE)
 _OUTER = " \t\r\x0b\x0c.,;:!?\"'()[]{}<>*#/-"
+_WORD = re.compile(rf"[^\s{re.escape(_OUTER)}]\S*")  # a word without the outer punctuation before it
 
 
 def normalised(sentence: str) -> str:
@@ -63,15 +64,15 @@ class Scanner:
         while i < len(fragments):
             begin, end = fragments[i]
             i += 1
-            head = text[begin:end].split(None, 1)
-            if not head or head[0].lower().strip(_OUTER) not in self.starts:
+            first = _WORD.search(text, begin, end)
+            if not first or first[0].lower().strip(_OUTER) not in self.starts:
                 continue
             words = normalised(text[begin:end])
             j = i
             while words in self.prefixes and words not in self.known and j < len(fragments) and j - i < MOST_LINES:
                 if text[fragments[j - 1][1] - 1] in ".!?":
                     break
-                words = f"{words} {normalised(text[slice(*fragments[j])])}"
+                words = f"{words} {normalised(text[slice(*fragments[j])])}".rstrip()
                 j += 1
             if words in self.known:
                 begin += len(text[begin:end]) - len(text[begin:end].lstrip())
