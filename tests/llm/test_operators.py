@@ -169,6 +169,18 @@ def test_language_id(spark, odd):
     assert language_id.identified(odd).columns == odd.columns
 
 
+def test_language_id_rejects_what_it_has_not_learned(spark):
+    rng = np.random.default_rng(3)
+    letters = lambda alphabet, n: " ".join("".join(rng.choice(list(alphabet), rng.integers(3, 10))) for _ in range(n))
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa."
+    odd = [letters("abcdefghijklmnopqrstuvwxyz", 400), letters("абвгдежзиклмнопрстуфхцчшщыьэюя", 800), letters("абвгдежз", 20), polish]
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    more = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(odd)], docs.schema)
+    rows = language_id.identify(docs.union(more)).where("held_out or doc_id < 0").collect()
+    assert all(r["rejected"] for r in rows if r["doc_id"] < 0)
+    assert not any(r["rejected"] for r in rows if r["doc_id"] >= 0 and r["lang_pred"] != "und")
+
+
 def test_lm_score(spark, odd):
     docs = odd.select("doc_id", "text").union(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(60).selectExpr("doc_id + 100", "text"))
     old, lm_score.BLOCK_TEXT, lm_score.BUCKET_TOKENS = (lm_score.BLOCK_TEXT, lm_score.BUCKET_TOKENS), 20_000, 3_000

@@ -4,9 +4,9 @@ A text is its letters in lower case, everything else one blank; its 1-, 2- and
 3-grams are hashed into ``DIMENSIONS`` counts, damped, weighted by inverse
 document frequency and scaled to length one.  Each language is a few spherical
 k-means centroids of a bounded sample of labelled texts.  The language of the
-nearest centroid by cosine is predicted; a text far beyond the language's own
-examples (a quarter of their least cosine, less for texts of few n-grams, whose
-cosine is small by nature) is marked rejected.
+nearest centroid by cosine is predicted; a text is marked rejected if its cosine is
+below four fifths of what all but one in 200 of the language's own examples with as
+many n-grams reach.  The beginnings of the examples count as examples of fewer n-grams.
 """
 
 from __future__ import annotations
@@ -23,8 +23,11 @@ CENTROIDS = 4
 ROUNDS = 12
 TEXT_CHUNK = 1 << 19
 ROWS = 256
-LEEWAY = 0.25
-SHORT = 200
+QUANTILE = 0.005
+LEEWAY = 0.8         # for texts that are not among the examples
+BEGINNINGS = (4, 8, 16, 32, 64, 128, 256, 512, 1024)  # characters of an example
+BANDS = np.array([8, 16, 32, 64, 128, 256, 512, 1024, 2048])  # different n-grams of a text
+LEAST_TEXTS = 20     # in a band, or the floor of the band of fewer n-grams holds
 _A, _B, _C = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
 _LETTERS: list[np.ndarray] = []
 
@@ -66,14 +69,24 @@ def counted(texts: list[str | None]) -> np.ndarray:
     return out.reshape(len(texts), DIMENSIONS)
 
 
-def vectors(texts: list[str | None], idf: np.ndarray) -> np.ndarray:
+def vectors(texts: list[str | None], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' vectors, and their numbers of different n-grams."""
     rows = np.log1p(counted(texts).astype(np.float32)) * idf
     size = np.sqrt((rows * rows).sum(1, keepdims=True))
-    return rows / np.where(size > 0, size, 1)
+    return rows / np.where(size > 0, size, 1), (rows > 0).sum(1)
 
 
-def _centroids(x: np.ndarray) -> tuple[np.ndarray, float]:
-    """Spherical k-means from far-apart seeds, and the least cosine of a member with its centroid."""
+def _floors(cosine: np.ndarray, grams: np.ndarray) -> list[float]:
+    """For each band of n-grams, ``LEEWAY`` times the cosine that all but ``QUANTILE`` of the examples reach."""
+    band, floors = np.searchsorted(BANDS, grams, "right"), []
+    for k in range(len(BANDS) + 1):
+        some = cosine[(band == k) & (grams > 0)]
+        floors.append(LEEWAY * float(np.quantile(some, QUANTILE)) if len(some) >= LEAST_TEXTS else floors[-1] if floors else 0.0)
+    return floors
+
+
+def _centroids(x: np.ndarray) -> np.ndarray:
+    """Spherical k-means from far-apart seeds."""
     seeds = [x.mean(0)]
     for _ in range(min(CENTROIDS, len(x)) - 1):
         seeds.append(x[(x @ np.array(seeds).T).max(1).argmin()])
@@ -82,8 +95,7 @@ def _centroids(x: np.ndarray) -> tuple[np.ndarray, float]:
         c = c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
         own = (x @ c.T).argmax(1)
         c = np.stack([x[own == k].mean(0) if (own == k).any() else c[k] for k in range(len(c))])
-    c = c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
-    return c, float((x @ c.T).max(1).min())
+    return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
 
 
 def fit(train: DataFrame) -> dict:
@@ -103,15 +115,26 @@ def fit(train: DataFrame) -> dict:
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
 
     def cluster(table: pa.Table) -> pa.Table:
-        x = np.concatenate([vectors(t, idf) for b in table.to_batches() for _, t in pieces(b, TEXT_CHUNK, ROWS)])
-        x = x[x.any(1)]
-        c, least = _centroids(x) if len(x) else (np.empty((0, DIMENSIONS), np.float32), 0.0)
+        texts = [t for b in table.to_batches() for _, t in pieces(b, TEXT_CHUNK, ROWS)]
+        found = [vectors(t, idf) for t in texts]
+        x, grams = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        x, grams = x[x.any(1)], grams[x.any(1)]
+        c = _centroids(x) if len(x) else np.empty((0, DIMENSIONS), np.float32)
+        floors = []
+        if len(c):
+            near = [((x @ c.T).max(1), grams)]
+            for size in BEGINNINGS:
+                for t in texts:
+                    if cut := [v[:size] for v in t if len(v) > size]:
+                        y, n = vectors(cut, idf)
+                        near.append(((y @ c.T).max(1), n))
+            floors = _floors(*(np.concatenate([f[k] for f in near]) for k in (0, 1)))
         return pa.table({"lang": pa.array([table.column("lang")[0].as_py()] * len(c), pa.string()),
                          "centroid": pa.array([r.astype("<f4").tobytes() for r in c], pa.binary()),
-                         "least": pa.array([least] * len(c), pa.float64())})
+                         "floors": pa.array([floors] * len(c), pa.list_(pa.float64()))})
 
-    found = sample.groupBy("lang").applyInArrow(cluster, "lang string, centroid binary, least double").orderBy("lang", "centroid").collect()
-    return {"idf": idf, "langs": [r["lang"] for r in found], "least": np.array([r["least"] for r in found]),
+    found = sample.groupBy("lang").applyInArrow(cluster, "lang string, centroid binary, floors array<double>").orderBy("lang", "centroid").collect()
+    return {"idf": idf, "langs": [r["lang"] for r in found], "floors": np.array([r["floors"] for r in found]),
             "centroids": np.array([np.frombuffer(r["centroid"], "<f4") for r in found], np.float32).reshape(len(found), DIMENSIONS)}
 
 
@@ -121,19 +144,18 @@ def predict(docs: DataFrame, model: dict, keep: list[str], payload_text: str | N
     With ``payload_text`` the text is that field of the kept column doc, so it travels once.
     """
     langs, centroids, idf = np.array(model["langs"], object), model["centroids"], model["idf"]
-    floor = LEEWAY * model["least"]
+    floors = model["floors"]
 
     def run(batches):
         for batch in batches:
             for part, texts in pieces(batch, TEXT_CHUNK, ROWS, payload_text):
-                x = vectors(texts, idf)
-                grams = (x > 0).sum(1)
+                x, grams = vectors(texts, idf)
                 some = grams > 0
                 if len(langs):
                     cosine = x @ centroids.T
                     best = cosine.argmax(1)
                     score = np.clip(cosine[np.arange(len(x)), best], 0, 1).astype(float)
-                    lang, rejected = langs[best], ~some | (score < floor[best] * np.minimum(1, grams / SHORT))
+                    lang, rejected = langs[best], ~some | (score < floors[best, np.searchsorted(BANDS, grams, "right")])
                 else:
                     lang, score, rejected = np.full(len(x), "und", object), np.zeros(len(x)), np.ones(len(x), bool)
                 yield pa.RecordBatch.from_arrays(
