@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import embedding_dedup, exact_topk, language_id, license_scan, lm_score, mixing, packing, simhash, toxicity, url_filter
+from tidemark.llm import (embedding_dedup, exact_topk, hard_negatives, language_id, license_scan, lm_score, mixing, packing, secret_scan,
+                          simhash, spelling, toxicity, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,8 +58,28 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"), least=5, times=5, typo_every=199)
+
+
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(_table(spark, sf_dir, "documents"))
+    kinds = [F.size(F.filter("base", _of_kind(k[0]))).cast("long").alias(f"n_{k[0]}") for k in secret_scan.KINDS]
+    return found.select("doc_id", *kinds, F.sha2(secret_scan.written("base"), 256).alias("base_sha256"), secret_scan.written("spans").alias("spans"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.expr("vec_id % 7 = 0"), (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    return hard_negatives.mine(vectors.select("vec_id", "embedding", label), positives=5, negatives=10, low=30, high=90, scale=256.0, every=100)
+
+
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_mixing, op3_url_filter, op4_language_id, op5_exact_topk, op6_simhash, op7_lm_score, op8_license_scan, op9_packing,
-                                  op10_toxicity)}
+                                  op10_toxicity, op11_spelling_variants, op12_secret_scan, op13_hard_negatives)}
 
 ORACLE = {
     # The given texts hold each licence sentence on a line of its own; the SQL reads lines.
@@ -129,4 +150,18 @@ ORACLE = {
               FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op13_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          [floor(256 * x::DOUBLE) for x in embedding] AS e
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, a.label AS own, c.vec_id, c.label, list_inner_product(a.e, c.e)::BIGINT AS score
+              FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE own = label
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (SELECT p.anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+                     row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+              FROM p JOIN s ON p.anchor_id = s.anchor_id AND own <> label
+              WHERE 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+        SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""",
 }
