@@ -132,12 +132,26 @@ def test_mixing(spark, odd):
     assert len(rows) == docs.count() and all(0 <= r["copies"] <= 3 for r in rows)
     assert sorted(rows) == sorted(mixing.mix(docs.repartition(7)).collect())
     out = mixing.mixed_documents(odd)
-    assert out.columns == odd.columns and out.count() == sum(r["copies"] for r in mixing.mix(odd, key_cols=odd.columns).collect())
+    assert out.columns == odd.columns and out.count() == sum(r["copies"] for r in mixing.mix(odd).collect())
     sizes = spark.createDataFrame([("a", 10), ("b", 1), ("c", 1000), (None, 5), ("e", 0)], "source string, source_size long")
     got = {r["source"]: r["target"] for r in mixing.targets(sizes).collect()}
     assert got["b"] == 3 and got["e"] == 0 and got[None] == 15 and got["a"] == 30 and got["c"] == pytest.approx(968)
 
 
+def test_mixing_keeps_each_row_apart(spark, tmp_root):
+    """Rows that differ only in which column is null, map columns, and the two ways to tell rows apart."""
+    rows = [(5, "x y", None, "x y", {"a": 1}), (5, "x y", "x y", None, {"a": 1}), (5, "x y", None, None, None), (5, "x y", None, None, None), (None, None, "s", "q", {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, note string, extra map<string, int>").select("*", F.lit(1).alias("row"), F.lit(2).alias("file"))
+    docs.write.parquet(tmp_root)
+    want = {repr(r): 0 for r in docs.collect()}
+    taken = mixing.mix(docs).groupBy("doc_id").agg(F.sum("copies").alias("n")).collect()
+    for out in (mixing.mixed_documents(docs), mixing.mixed_documents(spark.read.parquet(tmp_root), stored=True)):
+        got = Counter(repr(r) for r in out.collect())
+        assert out.columns == docs.columns and set(got) <= set(want) and sum(got.values()) == sum(r["n"] for r in taken)
+    one = spark.createDataFrame([(5, "x y", "x y", None), (5, "x y", None, "x y")], "doc_id long, text string, a string, b string").withColumn("source", F.lit("s"))
+    assert sorted(map(repr, mixing.mixed_documents(one).collect())) == sorted(map(repr, one.collect()))
+
+
 def test_mixing_splits_a_hot_group(spark):
     docs = spark.range(5000).selectExpr("id AS doc_id", "'same words here' AS text", "'s' AS source")
     assert sum(r["copies"] for r in mixing.mix(docs).collect()) == 5000

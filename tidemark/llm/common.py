@@ -12,7 +12,7 @@ from tidemark.session import scratch_path
 
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
-HASH_CHUNK = 1 << 21
+HASH_CHUNK = 1 << 17
 HASH_BITS = 16
 MANY_GROUPS = 10_000  # rows of two values; more than these are not broadcast
 
@@ -42,6 +42,18 @@ def extended(schema: StructType, ddl: str) -> StructType:
     return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
 
 
+def by_place(docs: DataFrame, stored: bool, name: str) -> DataFrame:
+    """(doc, file, row): every row as a struct, and two longs that tell it from all others, equal ones too.
+
+    With ``stored``, ``docs`` is read straight from files: file is a 64-bit hash of
+    the file's path, row the position in it.  Else the rows are saved, numbered.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    if stored:
+        return docs.select(whole, F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return saved(docs.select(whole, F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("row")), name)
+
+
 def own_columns(df: DataFrame, **wanted: str) -> DataFrame:
     """Only the wanted columns, under private names (``new=old``).
 
@@ -91,7 +103,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
             j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + HASH_CHUNK, "right")))
             n, first = sizes[i:j], total[i:j] - sizes[i:j]
             first = first - first[0]
-            place = np.arange(int(n.sum())) - np.repeat(first, n)
+            place = np.arange(int(n.sum()), dtype=np.int64) - np.repeat(first, n)
             byte = data[np.repeat(starts[i:j], n) + place]
             out[i:j] = np.add.reduceat(_BYTE_VALUES[byte] * powers[place], first)
             i = j

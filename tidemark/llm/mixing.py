@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import WORD_PATTERN, saved
+from tidemark.llm.common import WORD_PATTERN, by_place, saved
 
 SLOT = 1 << 11
 HEX = 7
@@ -71,7 +71,7 @@ def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", source_col:
         key_cols: list[str] | None = None) -> DataFrame:
     """doc_id, size, source_size, target, copies, key for every document.
 
-    key is the hash of ``key_cols`` (the text alone by default).
+    key is a struct of ``key_cols``, which tell rows apart (the text's hash by default).
 
     size is the number of words (null text: 0); a document is taken ``copies``
     (0 to 3) times.  Null sources are one source, ranked last.  Documents
@@ -81,7 +81,7 @@ def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", source_col:
     apart by the window only, so the multiset of results is the same in every
     run.  An empty table gives no rows; further columns are ignored.
     """
-    key = F.xxhash64(*[docs[c] for c in key_cols or [text_col]])
+    key = F.struct(*[docs[c] for c in key_cols]) if key_cols else F.struct(F.xxhash64(docs[text_col]).alias("text"))
     held = docs.select(docs[id_col].alias("id"), docs[source_col].cast("string").alias("source"),
                        word_count(docs[text_col]).alias("size"), key.alias("tie"),
                        F.md5(F.coalesce(docs[id_col].cast("string"), F.lit(""))).alias("spot"))
@@ -119,16 +119,23 @@ def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", source_col:
                         F.col("tie").alias("key"))
 
 
-def mixed_documents(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id") -> DataFrame:
+def mixed_documents(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+                    stored: bool = False) -> DataFrame:
     """The rows of the mix with the columns of ``docs``, a document taken n times standing n times.
 
-    Copies are worked out beside the texts and summed up for rows equal in all
-    columns; the texts move once, to meet the copies of their own row.
+    Copies are worked out beside the texts, which move once, to meet the copies of
+    their own row.  Rows are told apart by their place: with ``stored``, ``docs`` is
+    read straight from files and that is file (a 64-bit hash of its path) and
+    position; else the rows are saved with a number each.  So rows equal in some or
+    all columns, null ids, texts and sources, and columns of any type a file can hold
+    (maps too) and any name each keep their own copies.  Ties are as in ``mix``; an
+    empty table stays empty.
     """
-    taken = (mix(docs, seed, key_cols=docs.columns).where("copies > 0").groupBy(F.col(id_col).alias("t_id"), F.col("key").alias("t_key"))
-             .agg(F.sum("copies").alias("copies")))
-    rows = docs.select(docs[id_col].alias("id"), F.xxhash64(*[docs[c] for c in docs.columns]).alias("key"),
-                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    met = rows.join(taken, rows["id"].eqNullSafe(taken["t_id"]) & (rows["key"] == taken["t_key"])).dropDuplicates(["id", "key"])
+    rows = by_place(docs, stored, "mix-rows")
+    doc = F.col("doc")
+    light = rows.select("file", "row", doc.getField(id_col).alias("id"), doc.getField(source_col).alias("source"), doc.getField(text_col).alias("text"))
+    taken = mix(light, seed, "id", "source", "text", key_cols=["file", "row"]).where("copies > 0").select(
+        F.col("key.file").alias("t_file"), F.col("key.row").alias("t_row"), "copies")
+    met = rows.join(taken, (F.col("file") == F.col("t_file")) & (F.col("row") == F.col("t_row")))
     return met.select(F.explode(F.expr("array_repeat(doc, cast(copies as int))")).alias("doc")).select(
         *[F.col("doc").getField(c).alias(c) for c in docs.columns])

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 import zlib
 
 import numpy as np
@@ -27,73 +28,128 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
-from tidemark.llm.common import LOWER, as_bytes, chunks, extended, saved, word_hashes, words_of
+from tidemark.llm.common import LOWER, as_bytes, extended, pieces, saved, word_hashes, words_of
 
 WINDOW = 4096
 TRIPLE_LENGTHS = 256
 ROUNDS = 300
-TEXT_CHUNK = 1 << 21
-CACHE = 1_500_000
-PUNCTUATION = np.isin(np.arange(256), list(b"!\"#$%&()*+,-./:;=?@[]^_`{}~"))  # neither apostrophes nor < | >
+TEXT_CHUNK = 1 << 18
+ROWS = 256
+CACHE = 48 << 20     # bytes of known words at most
+# Characters that the tokenizer sets apart at a word's end; neither apostrophes nor < | >.
+PUNCTUATION = np.isin(np.arange(256), list(b"!\"#$%&()*+,-./:;=?@[]^_`{}~"))
 ALNUM = np.array([chr(i).isalnum() and i < 128 for i in range(256)])
+SMALL_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+")  # a to z, U+00E0 to U+00FF but the division sign
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs a task on each core
 
 _TOKENIZERS: dict[str, "_Words"] = {}
 
 
+def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... for size[0] numbers, then those of the next span."""
+    ends = np.cumsum(size)
+    return np.repeat(first - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
 class _Words:
     """Tokenises texts word by word, each distinct word once.
 
     The tokenizer lower-cases, drops white space and never joins what it
     separates, so a text's ids are its words' ids in order.  ASCII punctuation at
     the end of a word is a token run of its own there, so it is split off first:
-    far fewer distinct words remain.  Words are known by a 64-bit hash.
+    far fewer distinct words remain.  Known words are found by a 64-bit hash and
+    compared letter by letter; one whose hash belongs to another word is tokenised
+    anew each time.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        # A word of small letters that no normal form changes is one run to the tokenizer: its model can be asked directly.
+        stands_for = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = {i: "".join(x for x, _ in stands_for.pre_tokenize_str(chr(i))) for i in range(0xE0, 0x100)}
         self.forget()
 
     def forget(self) -> None:
-        self.keys = np.empty(0, np.uint64)
-        self.first = self.size = np.empty(0, np.int64)
-        self.flat = np.empty(0, np.uint32)
+        self.keys, self.slot = np.empty(0, np.uint64), np.empty(0, np.int32)  # in order of the hashes
+        self.first = self.size = self.letter = self.length = np.empty(0, np.int32)  # of each slot
+        self.flat, self.text = np.empty(0, self.kind), np.empty(0, np.uint8)
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text, as numbers of ``kind``."""
         data, begins = as_bytes(texts, lower=False)
         if b"<|" not in data.tobytes():  # else a lower-cased word could become a special token
             data = LOWER[data]
         starts, ends = words_of(data)
-        core = np.maximum.accumulate(np.where(PUNCTUATION[data], -1, np.arange(len(data))))[ends - 1] if len(ends) else ends
-        split = core[(core >= starts) & (core < ends - 1)] + 1
-        split = split[ALNUM[data[split - 1]]]
+        split = self._cores(data, starts, ends)
         starts, ends = np.sort(np.concatenate([starts, split])), np.sort(np.concatenate([ends, split]))
         unique, where, inverse = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) + len(unique) > CACHE:
+        if sum(x.nbytes for x in (self.keys, self.slot, self.first, self.size, self.letter, self.length, self.flat, self.text)) > CACHE:
             self.forget()
         at = np.searchsorted(self.keys, unique)
         fresh = at == len(self.keys)
         fresh[~fresh] = self.keys[at[~fresh]] != unique[~fresh]
         if fresh.any():
             raw = data.tobytes()
-            self._learn(unique[fresh], at[fresh], [raw[starts[i]: ends[i]].decode() for i in where[fresh]])
-        at = np.searchsorted(self.keys, unique)[inverse]
-        size = self.size[at]
-        total = np.cumsum(size)
-        flat = self.flat[np.repeat(self.first[at] - (total - size), size) + np.arange(int(total[-1]) if len(total) else 0)]
+            self._learn(unique[fresh], at[fresh], [raw[a:b] for a, b in zip(starts[where[fresh]].tolist(), ends[where[fresh]].tolist())])
+        at = self.slot[np.searchsorted(self.keys, unique)][inverse]
+        size, flat, first = self.size[at], self.flat, self.first[at].astype(np.int64)
+        other = self._others(data, starts, ends, at)
+        if len(other):
+            raw = data.tobytes()
+            anew = [self._encoded(raw[starts[i]: ends[i]]) for i in other.tolist()]
+            size[other] = [len(x) for x in anew]
+            first[other] = len(flat) + np.cumsum(size[other]) - size[other]
+            flat = np.concatenate([flat, *(np.array(x, self.kind) for x in anew)])
+        total = np.cumsum(size, dtype=np.int64)
+        flat = flat[_spans(first, size.astype(np.int64))]
         word = np.searchsorted(starts, np.append(begins, len(data)))
         cut = np.concatenate([[0], total])[word]
         return [flat[a:b] for a, b in zip(cut[:-1], cut[1:])]
 
-    def _learn(self, keys: np.ndarray, at: np.ndarray, words: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.first = np.insert(self.first, at, len(self.flat) + np.cumsum(size) - size)
-        self.size = np.insert(self.size, at, size)
+    def _cores(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where punctuation at a word's end begins, for words that have some behind a letter or digit."""
+        at = np.flatnonzero(PUNCTUATION[data[ends - 1]])
+        core, begin, out = ends[at] - 1, starts[at], []
+        while len(core):
+            inside = core > begin
+            core, begin = core[inside], begin[inside]
+            more = PUNCTUATION[data[core - 1]]
+            out.append(core[~more])
+            core, begin = core[more] - 1, begin[more]
+        split = np.concatenate([*out, np.empty(0, np.int64)])
+        return split[ALNUM[data[split - 1]]]
+
+    def _others(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The words whose letters are not those of the known word with their hash."""
+        length = (ends - starts).astype(np.int64)
+        same = length == self.length[at]
+        some = np.flatnonzero(same)
+        apart = data[_spans(starts[some], length[some])] != self.text[_spans(self.letter[at[some]].astype(np.int64), length[some])]
+        if apart.any():
+            same[some[np.searchsorted(np.cumsum(length[some]), np.flatnonzero(apart), "right")]] = False
+        return np.flatnonzero(~same)
+
+    def _encoded(self, word: bytes) -> list[int]:
+        text = word.decode()
+        if SMALL_LETTERS.fullmatch(word):
+            return [t.id for t in self.merge(text if text.isascii() else text.translate(self.letters))]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, keys: np.ndarray, at: np.ndarray, words: list[bytes]) -> None:
+        ids = [self._encoded(w) for w in words]
+        size, length = (np.fromiter(map(len, x), np.int32, len(x)) for x in (ids, words))
+        self.slot = np.insert(self.slot, at, np.arange(len(self.size), len(self.size) + len(words), dtype=np.int32))
         self.keys = np.insert(self.keys, at, keys)
-        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum()))])
+        self.first, self.letter, self.size, self.length = (np.concatenate(x, dtype=np.int32) for x in (
+            (self.first, len(self.flat) + np.cumsum(size) - size), (self.letter, len(self.text) + np.cumsum(length) - length),
+            (self.size, size), (self.length, length)))
+        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(ids), self.kind, int(size.sum()))])
+        self.text = np.concatenate([self.text, np.frombuffer(b"".join(words), np.uint8)])
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, id_col: str = "doc_id",
@@ -105,13 +161,14 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW
     """
     def run(batches):
         words = _TOKENIZERS.get(tokenizer) or _TOKENIZERS.setdefault(tokenizer, _Words(tokenizer))
+        kind = words.kind if end_id < 1 << 16 else np.dtype("<u4")
+        end = np.array([end_id], kind).tobytes()
         context = TaskContext.get()
         part, seen, fulls = context.partitionId() if context else 0, np.zeros(window, np.int64), 0
         for whole in batches:
-            texts = whole.column("text").to_pylist()
-            for a, b in chunks(texts, TEXT_CHUNK):
-                ids = [np.append(x, np.uint32(end_id)).astype("<u4") for x in words.ids(texts[a:b])]
-                n = np.fromiter(map(len, ids), np.int64, len(ids))
+            for some, texts in pieces(whole, TEXT_CHUNK, ROWS):
+                ids = [x.astype(kind, copy=False).tobytes() + end for x in words.ids(texts)]
+                n = np.fromiter(map(len, ids), np.int64, len(ids)) // kind.itemsize
                 full, rest = n // window, n % window
                 order = np.argsort(rest, kind="stable")
                 rank = np.empty(len(n), np.int64)
@@ -120,9 +177,8 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW
                 seen += np.bincount(rest, minlength=window)
                 before = fulls + np.cumsum(full) - full
                 fulls += int(full.sum())
-                narrow = "<u2" if max(int(x.max()) for x in ids) < 1 << 16 else "<u4"
                 yield pa.RecordBatch.from_arrays(
-                    [whole.column("id").slice(a, b - a), pa.array([x.astype(narrow).tobytes() for x in ids], pa.binary()), pa.array(n),
+                    [some.column("id"), pa.array(ids, pa.binary()), pa.array(n),
                      pa.array(np.full(len(n), part, np.int32)), pa.array(full), pa.array(rest.astype(np.int32)), pa.array(rank), pa.array(before)],
                     names=["id", "ids", "n", "part", "full", "rest", "rank", "full_before"])
 
@@ -250,10 +306,17 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = WINDOW,
     earlier = Window.partitionBy("rest").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ahead = by_part.groupBy("part").agg(F.sum("f").alias("f")).withColumn(
         "first_full", F.coalesce(F.sum("f").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    shifts = (by_part.withColumn("first_rank", F.coalesce(F.sum("k").over(earlier), F.lit(0)))
-              .join(ahead.select("part", "first_full"), "part").select("part", "rest", "first_rank", "first_full"))
-    placed = tokens.join(shifts, ["part", "rest"]).select(
-        "id", "ids", "n", "full", "rest", (F.col("rank") + F.col("first_rank")).alias("rank"),
+
+    def listed(t: pa.Table) -> pa.Table:
+        first = np.zeros(window, np.int64)
+        first[t.column("rest").to_numpy()] = t.column("first_rank").to_numpy()
+        return pa.table({"part": t.column("part").slice(0, 1), "first_rank": [first]})
+
+    # One row a partition, not one a partition and length; beyond Spark's broadcast threshold the join shuffles by partition.
+    ranks = by_part.withColumn("first_rank", F.coalesce(F.sum("k").over(earlier), F.lit(0))).select("part", "rest", "first_rank")
+    shifts = ranks.groupBy("part").applyInArrow(listed, "part int, first_rank array<long>").join(ahead.select("part", "first_full"), "part")
+    placed = tokens.join(saved(shifts, "packing-shifts"), "part").select(
+        "id", "ids", "n", "full", "rest", (F.col("rank") + F.element_at("first_rank", F.col("rest") + 1)).alias("rank"),
         (F.col("full_before") + F.col("first_full")).alias("first_full"))
     schema = extended(tokens.select("id").schema, "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
                       + (", ids binary" if with_ids else ""))
@@ -264,9 +327,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = WINDOW,
             columns = [b.column(c).to_pylist() for c in ("ids", "n", "full", "rest", "rank", "first_full")]
             for k, (raw, n, full, rest, rank, first) in enumerate(zip(*columns)):
                 ids = np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype("<u4")
-                pieces = [(window, first + i, 0) for i in range(full)] + (plan.pieces(rest, rank) if rest else [])
+                parts = [(window, first + i, 0) for i in range(full)] + (plan.pieces(rest, rank) if rest else [])
                 at = 0
-                for length, sequence, offset in pieces:
+                for length, sequence, offset in parts:
                     own = ids[at: at + length].tobytes()
                     source.append(k)
                     for column, value in zip(out, (at, length, zlib.crc32(own), n, sequence, offset, own)):

@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import components, extended, merged, own_columns, roots, saved
+from tidemark.llm.common import by_place, components, extended, merged, own_columns, roots, saved
 
 TILE = 8192
 BLOCK = 256
@@ -138,20 +138,22 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, radius: int = 4, id
 
 
 def one_of_each(docs: DataFrame, shingle_words: int = 4, radius: int = 4, text_col: str = "text",
-                id_col: str = "doc_id") -> DataFrame:
+                id_col: str = "doc_id", stored: bool = False) -> DataFrame:
     """The rows of ``docs`` with one document of each group of near-duplicates.
 
     The row kept is the one with the smallest id (nulls last), ties broken by the
-    text's hash; of rows equal in both exactly one.  Columns stay as they are.
-    Fingerprints are grouped beside the texts, which move once, to be matched
-    with the documents that stay.
+    text's hash; of rows equal in both exactly one.  Columns of any type a file can
+    hold stay as they are.  Fingerprints are grouped beside the texts, which move
+    once, to be matched with the rows that stay; rows are told apart by their place
+    (see ``by_place``; ``stored`` says that ``docs`` is read straight from files).
     """
-    keyed = saved(with_fingerprints(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("h")),
-                                    shingle_words, ["id", "h"]), "simhash")
-    groups = saved(keyed.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("first")), "simhash-groups")
+    rows = by_place(docs, stored, "simhash-rows")
+    doc = F.col("doc")
+    light = rows.select("file", "row", doc.getField(id_col).alias("id"), doc.getField(text_col).alias("text"))
+    keyed = saved(with_fingerprints(light.withColumn("h", F.xxhash64("text")), shingle_words, ["file", "row", "id", "h"]), "simhash")
+    groups = saved(keyed.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "file", "row")).alias("first")), "simhash-groups")
     root = components(linked(groups.select("fp"), radius), "simhash")
     keep = (groups.join(root.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
-            .agg(F.min("first").alias("first")).select(F.col("first.id").alias("k_id"), F.col("first.h").alias("k_h")).distinct())
-    rows = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    kept = rows.join(keep, rows["id"].eqNullSafe(keep["k_id"]) & (rows["h"] == keep["k_h"]), "left_semi").dropDuplicates(["id", "h"])
-    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
+            .agg(F.min("first").alias("first")).select(F.col("first.file").alias("file"), F.col("first.row").alias("row")))
+    kept = rows.join(keep, ["file", "row"], "left_semi")
+    return kept.select(*[doc.getField(c).alias(c) for c in docs.columns])
