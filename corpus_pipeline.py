@@ -29,12 +29,12 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     configure(spark)
-    return simhash.one_of_each(docs, shingle_words=4, radius=4)
+    return simhash.one_of_each(docs, shingle_words=4, radius=4, stored=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     configure(spark)
-    return mixing.mixed_documents(docs)
+    return mixing.mixed_documents(docs, stored=True)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
