@@ -26,6 +26,7 @@ from .sources.tables import load_table
 from .sources.trades import TRADES_SQL, load_trades, project_trades, trades_from_events
 from .streaming import lateness as late
 from .streaming import jobs as sp
+from .streaming import state as st
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -784,6 +785,94 @@ FROM g GROUP BY symbol, grp""", """s AS (
     lambda s, sf: ops.sessions(_trades(s, sf), ["symbol"], "event_time", "24 hours", ("qty",), "1 day"))
 
 
+# ---------------------------------------------------------------- streams with state
+def _in_parts(spark, sf, base, start, parts: int = 3) -> list:
+    """Messages arrive in ``parts`` stretches of event time, the query restarting on its checkpoint for each; NULL times come last."""
+    at = F.get_json_object("value", "$.ts").cast("long")
+    m = _messages(spark, sf)
+    low, high = m.agg(F.min(at), F.max(at)).first()
+    runs = []
+    for k in range(parts):
+        here = F.floor((at - low) * parts / (high - low + 1)) == k
+        sp.write_message_files(m.where(here | at.isNull() if k == parts - 1 else here), f"{base}/in")
+        runs.append(start(sp.trade_stream(sp.message_stream(spark, f"{base}/in"), None)))
+    return runs
+
+
+def _running_totals(spark, sf):
+    """Totals kept in state over three runs of the query; the last one of each symbol."""
+    base = scratch_path(spark, "running_totals_stream")
+    _in_parts(spark, sf, base, lambda t: st.stream_running_totals(t, f"{base}/out", f"{base}/ckpt", "24 hours"))
+    return st.read_running_totals(spark, f"{base}/out")
+
+
+register("running_totals_stream", with_trades("""
+SELECT symbol, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS event_count, CAST(sum(CAST(qty AS DECIMAL(18,4))) AS DOUBLE) AS qty
+FROM trades GROUP BY symbol"""))(_running_totals)
+
+
+def _reordered(spark, sf):
+    """Rows of a symbol released in order and numbered, from messages that arrive shuffled within each run."""
+    base = scratch_path(spark, "order_within_key_stream")
+    _in_parts(spark, sf, base, lambda t: st.stream_reordered(t, f"{base}/out", f"{base}/ckpt"))
+    return spark.read.schema(st.RELEASED).parquet(f"{base}/out/batch_id=*")
+
+
+register("order_within_key_stream", with_trades("""
+SELECT symbol, row_number() OVER (PARTITION BY symbol ORDER BY ts, seq) AS n, ts, seq, price, qty FROM trades
+QUALIFY ts <= (SELECT max(ts) FROM trades) - 5000"""))(_reordered)
+
+
+def _process_time_stream(spark, sf):
+    """Processing-time windows over three runs; whatever the clock said, every trade is in one window."""
+    base = scratch_path(spark, "process_time_stream")
+    _in_parts(spark, sf, base, lambda t: st.stream_process_time_windows(t, f"{base}/out", f"{base}/ckpt", "2 seconds"))
+    windows = st.read_process_time_windows(spark, f"{base}/out")
+    return windows.groupBy("symbol").agg(F.sum("trade_count").alias("trade_count"), (F.count("*") > 0).alias("in_windows"))
+
+
+register("process_time_stream", with_trades("SELECT symbol, count(*) AS trade_count, true AS in_windows FROM trades GROUP BY symbol"))(_process_time_stream)
+
+
+def _sliding_stream(spark, sf):
+    base = scratch_path(spark, "sliding_counts_stream")
+    _in_parts(spark, sf, base, lambda t: st.stream_sliding(t.withWatermark("event_time", "5 seconds"), f"{base}/out", f"{base}/ckpt", "2 minutes", "1 minute"))
+    return spark.read.parquet(f"{base}/out")
+
+
+register("sliding_counts_stream", with_trades("""
+SELECT symbol, window_start, window_start + INTERVAL 2 MINUTE AS window_end, count(*) AS trade_count,
+       CAST(sum(CAST(qty AS DECIMAL(18,4))) AS DOUBLE) AS total_qty
+FROM (SELECT symbol, qty, unnest([date_trunc('minute', event_time), date_trunc('minute', event_time) - INTERVAL 1 MINUTE]) AS window_start FROM trades)
+GROUP BY symbol, window_start
+HAVING window_start + INTERVAL 2 MINUTE <= (SELECT max(event_time) FROM trades) - INTERVAL 5 SECOND"""))(_sliding_stream)
+
+
+def _keyed_raw_stream(spark, sf):
+    """The keyed raw table, the whole input sent a second time."""
+    base = scratch_path(spark, "keyed_raw_stream")
+    start = lambda t: st.stream_keyed_raw(t, ["symbol", "ts", "seq"], f"{base}/raw", f"{base}/ckpt")
+    _in_parts(spark, sf, base, start)
+    sp.write_message_files(_messages(spark, sf), f"{base}/in")
+    start(sp.trade_stream(sp.message_stream(spark, f"{base}/in"), None))
+    return _read_log(spark, f"{base}/raw")
+
+
+register("keyed_raw_stream", _LOG_SQL)(_keyed_raw_stream)
+
+
+def _observed_growth(spark, sf):
+    """Rows per micro-batch observed while the log is written, no second scan."""
+    base = scratch_path(spark, "rows_growing_stream")
+    runs = _in_parts(spark, sf, base, lambda t: sp.append_log(st.observe_rows(t), f"{base}/log", f"{base}/ckpt"))
+    return st.observed_growth(spark, runs)
+
+
+register("rows_growing_stream", with_trades("""
+SELECT p AS batch_id, count(*) AS rows, sum(count(*)) OVER (ORDER BY p)::BIGINT AS total, true AS growing
+FROM (SELECT (ts - (SELECT min(ts) FROM trades)) * 3 // ((SELECT max(ts) - min(ts) FROM trades) + 1) AS p FROM trades) GROUP BY p"""))(_observed_growth)
+
+
 def _listed_table(spark, sf):
     vt = _event_versions(spark, sf, "list_objects")
     return list_objects(spark, vt.root)
