@@ -353,8 +353,12 @@ class VersionedTable:
             out = out.unionByName(p)
         return out
 
-    def snapshot(self, version: int | None = None) -> DataFrame:
+    def snapshot(self, version: int | None = None, touched: DataFrame | None = None) -> DataFrame:
+        """The table as of ``version``; with ``touched``, only the rows whose keys it holds."""
         rows = self.log_rows(version)
+        if touched is not None:
+            t = touched.select(*[F.col(k).alias(f"_t_{k}") for k in self.keys])
+            rows = rows.join(t, reduce(lambda x, y: x & y, [rows[k].eqNullSafe(F.col(f"_t_{k}")) for k in self.keys]), "left_semi")
         if not self.keys:
             return rows.drop("batch_id")
         return upsert_by_key(rows.drop("batch_id"), self.keys, self.ts, self.seq)
@@ -403,7 +407,12 @@ class VersionedTable:
                      F.sum("record_count").alias("row_count")))
 
     def diff(self, v_old: int, v_new: int) -> DataFrame:
-        """Rows added, removed or changed between two versions (by key)."""
+        """Rows added, removed or changed between two versions (by key).
+
+        Only keys in the batches that one version sees and the other does not can
+        differ: those batches are read first, and all others for their keys alone.
+        Versions with different columns are compared in full.
+        """
         if not self.keys:
             # Append-only: the difference is whole batches, found from the
             # commit log alone; only those directories are read.
@@ -411,7 +420,12 @@ class VersionedTable:
             added = self.log_rows(v_new, b_new - b_old).drop("batch_id").withColumn("change", F.lit("added"))
             removed = self.log_rows(v_old, b_old - b_new).drop("batch_id").withColumn("change", F.lit("removed"))
             return added.unionByName(removed, allowMissingColumns=True)
-        old, new = self.snapshot(v_old), self.snapshot(v_new)
+        touched = None
+        if self.schema(v_old).fieldNames() == self.schema(v_new).fieldNames():
+            b_old, b_new = (set(self.visible_batches(v, logical=True)) for v in (v_old, v_new))
+            touched = (self.log_rows(v_new, b_new - b_old).select(*self.keys)
+                       .union(self.log_rows(v_old, b_old - b_new).select(*self.keys)).distinct())
+        old, new = self.snapshot(v_old, touched), self.snapshot(v_new, touched)
         rest = [c for c in new.columns if c not in self.keys]
         # A column that the old version lacks compares as NULL.
         was = [F.col(c) if c in old.columns else F.lit(None).cast(new.schema[c].dataType).alias(c) for c in rest]

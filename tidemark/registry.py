@@ -770,6 +770,18 @@ SELECT symbol, log_count, log_count AS bar_count, log_qty, log_qty AS bar_qty, t
   FROM trades GROUP BY symbol
 )"""))(lambda s, sf: reconcile_bars(_trades(s, sf), ops.ohlcv_bars(_trades(s, sf))))
 
+
+
+def _reconcile_stored(spark, sf):
+    """The two stored tables of one pipeline: the trade log, and the bars that a stream made of it."""
+    base = _stream_base(spark, sf, "reconcile_stored_bars")
+    sp.append_log(sp.trade_stream(sp.message_stream(spark, f"{base}/in"), None), f"{base}/raw", f"{base}/ckpt_raw")
+    sp.stream_bars(sp.log_stream(spark, f"{base}/raw", None), f"{base}/bars", f"{base}/ckpt_bars", "1 minute", "upsert")
+    return reconcile_bars(spark.read.schema(sp.LOG_SCHEMA).parquet(f"{base}/raw"), sp.read_upsert_bars(spark, f"{base}/bars"))
+
+
+register("reconcile_stored_bars", ORACLE["reconcile_bars"])(_reconcile_stored)
+
 register("running_summary", with_trades("""
 SELECT symbol, min(event_time) AS session_start, max(event_time) + INTERVAL 24 HOUR AS session_end,
        count(*) AS event_count, CAST(sum(CAST(qty AS DECIMAL(18,4))) AS DOUBLE) AS qty
