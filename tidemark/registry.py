@@ -16,6 +16,7 @@ from . import operators as ops
 from .functions.ordering import first_value, last_value
 from .functions.time import clock_label, to_ntz
 from .operators.checks import reconcile_bars
+from .plans import bucketed as buck
 from .plans import catalog as cat
 from .plans import layout as lay
 from .plans.versioned import VersionedTable
@@ -58,6 +59,8 @@ def with_trades(body: str, ctes: str = "") -> str:
     return f"WITH {TRADES_SQL}{more}\n{body}"
 
 
+_HALF = "2024-01-16 00:00:00"  # cuts the events into two stretches of time
+
 # ---------------------------------------------------------------- step 0
 register("project_trades", with_trades("SELECT symbol, ts, price, qty, side, event_time FROM trades"))(
     lambda s, sf: _out_trades(project_trades(_trades(s, sf))))
@@ -244,6 +247,46 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_o
         load_table(s, sf, "orders").withColumn("_d", F.unix_micros(F.col("o_orderdate").cast("timestamp"))),
         ["o_custkey"], "_d", "o_orderkey").drop("_d"))
 
+
+
+def _merged_table(spark, base_rows, updates, keys, ts, seq, buckets: int = 8) -> DataFrame:
+    base = scratch_path(spark, "bucketed")
+    old, new = (f"tidemark_{base.rsplit('-', 1)[-1]}_{v}" for v in ("old", "new"))
+    buck.create_bucketed(base_rows, old, f"{base}/old", keys, buckets, ts, seq)
+    buck.merge_bucketed(spark, old, updates, new, f"{base}/new", keys, buckets, ts, seq)
+    return spark.table(new)
+
+
+def _upsert_trade_id(spark, sf):
+    """Trades by id in buckets.  The updates are the later half's trades, corrections of the first half's
+    buys, and outdated rows of its sells, which change nothing."""
+    t = _trades(spark, sf).select(F.col("seq").alias("trade_id"), "symbol", "price", F.col("qty").alias("quantity"),
+                                  F.col("event_time").alias("trade_time"), "side")
+    early = F.coalesce(F.col("trade_time") < F.lit(_HALF).cast("timestamp"), F.lit(False))
+    first, second = t.where(early), t.where(~early)
+    fixed = first.where("side = 'BUY'").withColumn("price", F.col("price") * 2).withColumn("trade_time", F.expr("trade_time + INTERVAL 1 SECOND"))
+    stale = first.where("side = 'SELL'").withColumn("price", F.lit(0.0)).withColumn("trade_time", F.expr("trade_time - INTERVAL 1 SECOND"))
+    updates = second.unionByName(fixed).unionByName(stale)
+    out = _merged_table(spark, first.drop("side"), updates.drop("side"), ["trade_id"], F.unix_micros("trade_time"), F.col("trade_id"))
+    return out.withColumn("trade_time", to_ntz("trade_time"))
+
+
+register("upsert_trade_id", with_trades(f"""
+SELECT seq AS trade_id, symbol, CASE WHEN fixed THEN price * 2 ELSE price END AS price, qty AS quantity,
+       CASE WHEN fixed THEN event_time + INTERVAL 1 SECOND ELSE event_time END AS trade_time
+FROM (SELECT *, side = 'BUY' AND event_time < TIMESTAMP '{_HALF}' AS fixed FROM trades)"""))(_upsert_trade_id)
+
+
+def _upsert_orders_bucketed(spark, sf):
+    """The latest order of each customer, from a bucketed table and the orders that follow it."""
+    o = load_table(spark, sf, "orders")
+    early = F.col("o_orderdate") < F.lit("1997-01-01").cast("date")
+    return _merged_table(spark, o.where(early), o.where(~early), ["o_custkey"],
+                         F.unix_micros(F.col("o_orderdate").cast("timestamp")), F.col("o_orderkey"))
+
+
+register("upsert_orders_bucketed", ORACLE["upsert_orders_by_customer"])(_upsert_orders_bucketed)
+
 register("check_unique_key", """
 SELECT o_custkey, o_orderdate, count(*) AS row_count FROM orders
 GROUP BY o_custkey, o_orderdate HAVING count(*) > 1""")(
@@ -417,7 +460,6 @@ FROM o FULL OUTER JOIN n ON o.user_id = n.user_id AND o.event_type = n.event_typ
 WHERE o.event_id IS DISTINCT FROM n.event_id""")(_diff)
 
 # ---------------------------------------------------------------- step 8: schema evolution
-_HALF = "2024-01-16 00:00:00"
 
 
 def _evolving(spark, sf, name):
@@ -743,6 +785,42 @@ register("sessions_stream", f"""
 SELECT * FROM ({_SESSIONS_SQL.format(gap='5 MINUTE')})
 WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 5 SECOND""")(_sessions_stream)
 
+
+
+def _sessions_by_panes(spark, sf):
+    """Sessions of each event type (five hot keys) and of each user, from a stream in three runs on one checkpoint."""
+    base = scratch_path(spark, "sessions_by_panes_stream")
+    ev = load_table(spark, sf, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = ev.agg(F.min(at), F.max(at)).first()
+    outs = {"user_id": "5 minutes", "event_type": "10 seconds"}
+    for k in range(3):
+        here = F.floor((at - low) * 3 / (high - low + 1)) == k
+        ev.where(here | at.isNull() if k == 2 else here).write.mode("append").parquet(f"{base}/in")
+        stream = (spark.readStream.schema(ev.schema).parquet(f"{base}/in")
+                  .withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", "5 seconds"))
+        for key, gap in outs.items():
+            st.stream_sessions_by_panes(stream, [key], "event_time", f"{base}/{key}", f"{base}/ckpt_{key}", gap, sum_cols=("value",))
+    parts = [spark.read.option("basePath", f"{base}/{key}").parquet(f"{base}/{key}")
+             .select(F.lit(key).alias("by"), F.col(key).cast("string").alias("key"), "session_start", "session_end", "event_count", "value")
+             for key in outs]
+    return parts[0].unionByName(parts[1])
+
+
+def _pane_sessions_sql(key: str, gap: str, gap_us: int) -> str:
+    return f"""
+SELECT '{key}' AS by, CAST({key} AS VARCHAR) AS key, min(ts) AS session_start, max(ts) + INTERVAL {gap} AS session_end,
+       count(*) AS event_count, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS value
+FROM (SELECT *, sum(new_session) OVER (PARTITION BY {key} ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp
+      FROM (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL {gap} THEN 1 ELSE 0 END AS new_session
+            FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY {key} ORDER BY ts)))
+GROUP BY {key}, grp
+HAVING (epoch_us(max(ts)) // {gap_us} + 2) * {gap_us} <= (SELECT epoch_us(max(ts)) // 1000 * 1000 - 5000000 FROM events)"""
+
+
+register("sessions_by_panes_stream", _pane_sessions_sql("user_id", "5 MINUTE", 300_000_000) + "\nUNION ALL"
+         + _pane_sessions_sql("event_type", "10 SECOND", 10_000_000))(_sessions_by_panes)
+
 register("late_rows", with_trades("""
 SELECT t.symbol, t.ts, t.price, t.qty, t.side, t.seq, t.event_time
 FROM trades t JOIN w ON t.seq // 1000 = w.batch

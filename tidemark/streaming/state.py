@@ -7,6 +7,8 @@
 * Processing-time windows over many micro-batches, in update mode.
 * Sliding windows by panes: a first aggregate per slide, a second one over panes,
   so a row is never copied into its windows.
+* Sessions by panes: a first aggregate per (key, pane one gap wide), then one state
+  per key that joins neighbouring panes, so a hot key's rows meet in no single task.
 * A keyed raw table: a key seen within the watermark's delay is not written again.
 * Row counts observed while a query runs, without another scan.
 
@@ -20,13 +22,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from decimal import Context, localcontext
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..functions.time import to_ntz
+from ..functions.exact import WIDE, finish_sum, part_names, sum_parts
+from ..functions.time import interval_micros, to_ntz
 from ..session import ROCKSDB_STATE
 from .jobs import run
 
@@ -204,6 +208,85 @@ def stream_sliding(trades: DataFrame, path: str, checkpoint: str, size: str = "2
     return run(w, trigger)
 
 
+# ---------------------------------------------------------------- sessions by panes
+def _part_type(column: str) -> str:
+    return WIDE if column.endswith("_dec") else "double" if column.endswith("_dbl") else "long"
+
+
+class SessionsOfPanes(StatefulProcessor):
+    """Joins a key's closed panes to sessions; the last session stays open until the pane after its last one has closed too."""
+
+    def __init__(self, gap_us: int, keys: list[str], parts: list[str]):
+        self.gap_us, self.held, self.columns = gap_us, ["_lo", "_hi", "event_count", *parts], [*keys, "_lo", "_hi", "event_count", *parts]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", ", ".join(f"`{c}` {_part_type(c)}" for c in self.held))
+
+    def _due(self, session: tuple) -> int:
+        """Two rows of one session lie in the same or in neighbouring panes: past the next pane's end nothing can join."""
+        return -(-(session[1] // self.gap_us + 2) * self.gap_us // 1000)
+
+    def _row(self, key, session) -> Row:
+        return Row(*self.columns)(*key, *session)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        current = tuple(self.open.get()) if self.open.exists() else None
+        if current:
+            self.handle.deleteTimer(self._due(current))
+        for pane in sorted((tuple(r[c] for c in self.held) for r in rows), key=lambda p: p[0]):
+            if current and pane[0] - current[1] <= self.gap_us:
+                with localcontext(Context(prec=38)):
+                    added = [b if a is None else a if b is None else a + b for a, b in zip(current[2:], pane[2:])]
+                current = (current[0], pane[1], *added)
+            else:
+                if current:
+                    yield self._row(key, current)
+                current = pane
+        self.open.update(current)
+        self.handle.registerTimer(self._due(current))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.open.exists():
+            yield self._row(key, self.open.get())
+            self.open.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def session_panes(events: DataFrame, keys: list[str], time_col: str, gap: str, sum_cols: tuple[str, ...] = ()) -> DataFrame:
+    """First and last time, count and sums per key and pane one gap wide, of a watermarked stream."""
+    panes = events.groupBy(*keys, F.window(time_col, gap).alias("_pane")).agg(
+        F.min(F.unix_micros(time_col)).alias("_lo"), F.max(F.unix_micros(time_col)).alias("_hi"),
+        F.count(F.lit(1)).alias("event_count"), *[p for c in sum_cols for p in sum_parts(c, c)])
+    return panes.select(*keys, F.window_time("_pane").alias("_pane_time"), "_lo", "_hi", "event_count",
+                        *[p for c in sum_cols for p in part_names(c)])
+
+
+def stream_sessions_by_panes(events: DataFrame, keys: list[str], time_col: str, path: str, checkpoint: str, gap: str = "5 minutes",
+                             trigger: str | None = None, sum_cols: tuple[str, ...] = ()):
+    """Sessions of a watermarked stream, under ``path/batch_id=N``: keys, session_start, session_end, event_count, sums.
+
+    The same sessions as ``stream_sessions``; rows exactly one gap apart stay
+    together.  A session is written once the watermark has passed the end of the
+    pane after its last one, at most two gaps after its last row.  The rows are reduced
+    by (key, pane) before and after the shuffle; the state of a key takes
+    one row for each pane.  NULL keys are a key, rows without a time are left out.
+    """
+    spark = events.sparkSession
+    gap_us = interval_micros(gap)
+    panes = session_panes(events, keys, time_col, gap, sum_cols)
+    processor = SessionsOfPanes(gap_us, keys, [p for c in sum_cols for p in part_names(c)])
+    schema = ", ".join([*[f"`{k}` {panes.schema[k].dataType.simpleString()}" for k in keys], *[f"`{c}` {_part_type(c)}" for c in processor.held]])
+    found = panes.groupBy(*keys).transformWithState(processor, schema, "Append", "EventTime")
+    out = found.select(*keys, to_ntz(F.timestamp_micros("_lo")).alias("session_start"),
+                       to_ntz(F.timestamp_micros(F.col("_hi") + gap_us)).alias("session_end"), "event_count",
+                       *[finish_sum(c).alias(c) for c in sum_cols])
+    with rocksdb(spark):
+        return _written(out, path, checkpoint, "append", trigger)
+
+
 # ---------------------------------------------------------------- keyed raw table, observed counts
 def stream_keyed_raw(trades: DataFrame, keys: list[str], path: str, checkpoint: str, delay: str = "1 hour", trigger: str | None = None):
     """The raw table with its key kept by state: a row whose key came within ``delay`` of event time is not written again.
