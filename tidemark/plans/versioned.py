@@ -12,8 +12,9 @@ filter on the ``batch_id`` partition column, so Spark prunes whole
 directories before it lists files.  With declared keys, the table is the
 latest row per key over the visible batches (upsert on read).
 
-The commit log is the only thing read on the driver: one small row per
-commit, never table data.  Limits: one writer at a time, no atomic
+Commits and the choice of a version's batches read the log on the driver: one
+small row per commit, never table data.  ``history``, ``snapshots``,
+``rows_growing`` and ``version_at`` are queries over the log.  Limits: one writer at a time, no atomic
 multi-table commit; this is a convention over Parquet, not a table format.
 
 Schemas carry a field id per column (``metadata.field_id``).  Renames keep
@@ -45,6 +46,9 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("schema_json", T.StringType()),  # table schema after it
     T.StructField("token", T.StringType()),        # caller's idempotency token
     T.StructField("added_rows", T.LongType()),     # rows an append brought in; 0 for other commits
+    T.StructField("total_rows", T.LongType()),     # rows of the append log after it
+    # Versions that this one does not descend from: those strictly between, one entry per rollback in its ancestry.
+    T.StructField("skipped", T.ArrayType(T.StructType([T.StructField("after", T.LongType()), T.StructField("before", T.LongType())]))),
 ])
 
 # Type changes allowed by widen_type (old simple type -> new simple type).
@@ -111,11 +115,18 @@ class VersionedTable:
         log = self._log()
         version = (log[-1].version + 1) if log else 1
         parent = log[-1].version if log else None
+        # A rollback goes on from its target, any other commit from its parent.
+        base = next((r for r in log if r.version == row["target"]), None) if row.get("target") is not None else (log[-1] if log else None)
+        added = row.get("added_rows", 0)
+        skipped = [tuple(x) for x in (base.skipped or [])] if base else []
+        if row.get("target") is not None:
+            skipped.append((row["target"], version))
         rec = {"version": version, "committed_at": _ntz(row.get("committed_at")),
                "operation": row["operation"], "batch_id": row.get("batch_id"),
                "parent": parent, "target": row.get("target"),
                "schema_json": row.get("schema_json") or (log[-1].schema_json if log else None),
-               "token": row.get("token"), "added_rows": row.get("added_rows", 0)}
+               "token": row.get("token"), "added_rows": added,
+               "total_rows": (base.total_rows or 0 if base else 0) + added, "skipped": skipped}
         (self.spark.createDataFrame([rec], COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self.log_path))
         self.refresh()
@@ -203,6 +214,8 @@ class VersionedTable:
                        F.lit("append").alias("operation"), "batch_id", "added_rows")
                .withColumn("parent", F.lag("version").over(by_version))
                .withColumn("target", F.lit(None).cast("long"))
+               .withColumn("total_rows", F.sum("added_rows").over(by_version.rowsBetween(Window.unboundedPreceding, 0)))
+               .withColumn("skipped", F.array().cast(COMMIT_SCHEMA["skipped"].dataType))
                .withColumn("schema_json", F.lit(schema.json()))
                .withColumn("token", F.lit(None).cast("string")))
         log.select(*COMMIT_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(self.log_path)
@@ -317,10 +330,10 @@ class VersionedTable:
     def version_at(self, ts) -> int:
         """Newest version committed at or before ``ts``."""
         t = _ntz(ts)
-        cands = [r.version for r in self._log() if r.committed_at <= t]
-        if not cands:
+        newest = self.commits().where(F.col("committed_at") <= F.lit(t).cast("timestamp_ntz")).agg(F.max("version")).first()[0]
+        if newest is None:
             raise ValueError(f"no version at or before {ts}")
-        return max(cands)
+        return newest
 
     def log_rows(self, version: int | None = None, only: set[int] | None = None) -> DataFrame:
         """All visible rows (no upsert), projected onto the version's schema.
@@ -374,17 +387,12 @@ class VersionedTable:
 
     def history(self) -> DataFrame:
         """Order in which versions became current; marks ancestors of the current one."""
-        log = self._log()
-        cur = log[-1].version if log else None
-        ancestors, v = set(), cur
-        by_v = {r.version: r for r in log}
-        while v is not None:
-            ancestors.add(v)
-            r = by_v[v]
-            v = r.target if r.operation == "rollback" else r.parent
+        # The newest commit names the versions that rollbacks have cut off: one row, joined back to the log.
         c = self.commits()
-        return c.select(F.col("committed_at").alias("made_current_at"), "version", "parent",
-                        F.col("version").isin(list(ancestors)).alias("is_current_ancestor"))
+        newest = c.agg(F.max_by("skipped", "version").alias("_cut"))
+        cut = F.exists("_cut", lambda x: (F.col("version") > x["after"]) & (F.col("version") < x["before"]))
+        return c.join(newest).select(F.col("committed_at").alias("made_current_at"), "version", "parent",
+                                     F.coalesce(~cut, F.lit(True)).alias("is_current_ancestor"))
 
     def files(self) -> DataFrame:
         """One row per data file of a committed batch: path, size, record count, batch id."""
@@ -446,11 +454,8 @@ class VersionedTable:
         Only appends add rows: a compaction keeps the total, and a rollback
         brings back the total of its target.  Read from the commit log alone.
         """
-        totals: dict[int, int] = {}
-        rows = []
-        for r in self._log():
-            before = totals.get(r.parent, 0)
-            total = totals[r.target] if r.operation == "rollback" else before + (r.added_rows or 0)
-            totals[r.version] = total
-            rows.append((r.version, r.added_rows or 0, total, r.parent is None or total > before))
-        return self.spark.createDataFrame(rows, "version long, added_rows long, total_rows long, growing boolean")
+        c = self.commits()
+        before = c.select(F.col("version").alias("_v"), F.col("total_rows").alias("_before"))
+        return (c.join(before, c["parent"] == F.col("_v"), "left")
+                .select("version", F.coalesce("added_rows", F.lit(0)).alias("added_rows"), "total_rows",
+                        (F.col("parent").isNull() | (F.col("total_rows") > F.col("_before"))).alias("growing")))

@@ -81,10 +81,8 @@ def get_session(master: str | None = None, app: str = "tidemark",
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for k, v in BASE_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):  # a foreign session keeps its static settings
             spark.conf.set(k, v)
-        except Exception:  # static conf on a foreign session: leave it
-            pass
     return spark
 
 
