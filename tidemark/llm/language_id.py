@@ -47,9 +47,10 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 def counted(texts: list[str | None]) -> np.ndarray:
     """(text, bucket) counts of the n-grams; a text without letters is a row of zeros."""
     lowered = [(t or "").lower() for t in texts]
-    codes = np.frombuffer("\n".join(lowered).encode("utf-32-le"), "<u4")
+    # Every text has a blank on either side, so its counts do not depend on the texts beside it.
+    codes = np.frombuffer(("\n" + "\n".join(lowered) + "\n").encode("utf-32-le"), "<u4")
     size = np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1
-    doc = np.repeat(np.arange(len(texts)), size)[: len(codes)]
+    doc = np.concatenate([np.zeros(1, np.int64), np.repeat(np.arange(len(texts)), size)])[: len(codes)]
     z = np.where(_letters()[codes], codes, np.uint32(0))
     keep = np.ones(len(z), bool)
     keep[1:] = (z[1:] != 0) | (z[:-1] != 0)
