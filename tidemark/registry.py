@@ -741,7 +741,7 @@ UNION ALL SELECT 'buys', symbol, ts, price, qty, seq FROM trades WHERE side = 'B
 
 def _raw_and_bars(spark, sf):
     """One read of the messages fills the trade log, and the log fills the 1-minute
-    bars, in several micro-batches with a restart between the input's halves.
+    bars, in micro-batches of bounded size with a restart between the input's halves.
     Returns the rows of both stored tables.  Bars stay open for later rows, so the
     order in which files arrive does not matter."""
     base = scratch_path(spark, "raw_and_bars_stream")
@@ -750,10 +750,10 @@ def _raw_and_bars(spark, sf):
     cut = F.unix_millis(F.lit(_HALF).cast("timestamp"))
     for part in (m.where(at < cut), m.where((at >= cut) | at.isNull())):
         sp.write_message_files(part, f"{base}/in")
-        sp.append_log(sp.trade_stream(sp.message_stream(spark, f"{base}/in", max_files=1), None),
+        sp.append_log(sp.trade_stream(sp.message_stream(spark, f"{base}/in", max_bytes=sp.MICRO_BATCH_BYTES), None),
                       f"{base}/raw", f"{base}/ckpt_raw")
-        sp.stream_bars(sp.log_stream(spark, f"{base}/raw", None, max_files=1), f"{base}/bars", f"{base}/ckpt_bars",
-                       "1 minute", "upsert")
+        sp.stream_bars(sp.log_stream(spark, f"{base}/raw", None, max_bytes=sp.MICRO_BATCH_BYTES), f"{base}/bars",
+                       f"{base}/ckpt_bars", "1 minute", "upsert")
     raw = _read_log(spark, f"{base}/raw").select(
         F.lit("raw_trades").alias("target"), "symbol", F.col("event_time").alias("at"), "seq", "price", "qty",
         F.lit(None).cast("long").alias("trade_count"))

@@ -39,6 +39,9 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
 ])
 
+# Bytes of a micro-batch where its rate is bounded: the number of micro-batches follows the bytes, not the files.
+MICRO_BATCH_BYTES = 128 << 20
+
 LOG_SCHEMA = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("ts", T.LongType()),
@@ -56,11 +59,17 @@ def write_message_files(messages: DataFrame, path: str) -> None:
     messages.select(*ENVELOPE_SCHEMA.fieldNames()).write.mode("append").json(path)
 
 
-def message_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(ENVELOPE_SCHEMA)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.json(path)
+def _bounded(reader, max_files: int | None, max_bytes: int | None):
+    """A micro-batch takes so many files, or files of so many bytes (one at least): many small files then share one."""
+    if max_files and max_bytes:
+        raise ValueError("bound a micro-batch by max_files or by max_bytes")
+    if max_bytes:
+        return reader.option("maxBytesPerTrigger", max_bytes)
+    return reader.option("maxFilesPerTrigger", max_files) if max_files else reader
+
+
+def message_stream(spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    return _bounded(spark.readStream.schema(ENVELOPE_SCHEMA), max_files, max_bytes).json(path)
 
 
 def trade_stream(messages: DataFrame, lateness: str | None = "5 seconds",
@@ -72,12 +81,9 @@ def trade_stream(messages: DataFrame, lateness: str | None = "5 seconds",
 
 
 def log_stream(spark: SparkSession, log_path: str, lateness: str | None = "5 seconds",
-               max_files: int | None = None) -> DataFrame:
+               max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """The stored trade log as a stream (read through the sink's manifest)."""
-    r = spark.readStream.schema(LOG_SCHEMA)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    t = r.parquet(log_path)
+    t = _bounded(spark.readStream.schema(LOG_SCHEMA), max_files, max_bytes).parquet(log_path)
     return t.withWatermark("event_time", lateness) if lateness else t
 
 
