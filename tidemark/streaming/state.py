@@ -3,7 +3,8 @@
 * Running totals per key, visible after every micro-batch; a key that stays
   idle for a time starts anew and its state is dropped.
 * A reorder buffer: rows of a key are held until the watermark passes them and
-  released in (ts, seq) order with a number each, whatever order they came in.
+  released in (ts, seq) order with a number each, whatever order they came in; each
+  row has a state of its own, so a hot key's rows are held and sorted in many tasks.
 * Processing-time windows over many micro-batches, in update mode.
 * Sliding windows by panes: a first aggregate per slide, a second one over panes,
   so a row is never copied into its windows.
@@ -25,7 +26,7 @@ from contextlib import contextmanager
 from decimal import Context, localcontext
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -113,63 +114,45 @@ def read_running_totals(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- reorder buffer
-class Reordered(StatefulProcessor):
-    """Holds rows by (ts, seq); a timer at each row's time releases what the watermark has passed, in order and numbered."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.held = handle.getMapState("held", "ts long, seq long", "price double, qty double")
-        self.released = handle.getValueState("released", "n long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        due = set()
-        for part in rows:
-            for r in part.itertuples(index=False):
-                self.held.updateValue((int(r.ts), int(r.seq)), (r.price, r.qty))
-                due.add(int(r.ts))
-        if due:  # one timer is enough: what stays held then gets the next one
-            self.handle.registerTimer(min(due))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs()
-        ready, rest = [], None
-        for at, row in self.held.iterator():
-            if at[0] <= passed:
-                ready.append((at[0], at[1], row[0], row[1]))
-            else:
-                rest = at[0] if rest is None else min(rest, at[0])
-        if rest is not None:
-            self.handle.registerTimer(rest)
-        if not ready:
-            return
-        ready.sort(key=lambda r: r[:2])
-        for r in ready:
-            self.held.removeKey(r[:2])
-        n = self.released.get()[0] if self.released.exists() else 0
-        self.released.update((n + len(ready),))
-        out = pd.DataFrame(ready, columns=["ts", "seq", "price", "qty"])
-        out.insert(0, "n", range(n + 1, n + 1 + len(ready)))
-        out.insert(0, "symbol", key[0])
-        yield out
-
-    def close(self) -> None:
-        pass
-
-
-def stream_reordered(trades: DataFrame, path: str, checkpoint: str, lateness: str = "5 seconds", trigger: str | None = None):
-    """Each symbol's rows in (ts, seq) order, numbered from 1, once the watermark has passed them.
+def stream_reordered(trades: DataFrame, path: str, checkpoint: str, lateness: str = "5 seconds", trigger: str | None = None,
+                     pane: str = "1 hour"):
+    """Each symbol's rows in (ts, seq) order, numbered from 1, once the watermark has passed them, under ``path/batch_id=N``.
 
     Rows later than ``lateness`` are dropped by the watermark, rows without time or
     seq are left out; a repeated (ts, seq) of a symbol is one row.  Rows the
     watermark has not reached stay held.
+
+    Rows are held each under its own (symbol, ts, seq), so a hot symbol's rows lie in
+    all tasks.  What a micro-batch releases is sorted by (symbol, pane) and numbered on
+    from the panes before, whose sizes are summed, and from the symbol's rows of the
+    micro-batches before, kept under ``path/_released/batch_id=N``.
     """
     spark = trades.sparkSession
-    held = (trades.where("ts IS NOT NULL AND seq IS NOT NULL").withWatermark("event_time", lateness)
-            .select("symbol", "ts", "seq", "price", "qty", "event_time"))
-    ordered = held.groupBy("symbol").transformWithStateInPandas(Reordered(), RELEASED, "Append", "EventTime")
+    pane_ms = milliseconds(spark, pane)
+    timed = trades.where("event_time IS NOT NULL AND ts IS NOT NULL AND seq IS NOT NULL").withWatermark("event_time", lateness)
+    held = timed.groupBy("symbol", "ts", "seq", "event_time").agg(F.last("price").alias("price"), F.last("qty").alias("qty"))
+
+    def write_batch(rows: DataFrame, batch_id: int) -> None:
+        s = rows.sparkSession
+        rows = rows.select("symbol", "ts", "seq", "price", "qty", F.floor(F.col("ts") / pane_ms).alias("_pane")).persist()  # used three times below
+        try:
+            panes = rows.groupBy("symbol", "_pane").agg(F.count(F.lit(1)).alias("_rows"))
+            before = (s.read.schema("symbol string, n long").parquet(f"{path}/_released/batch_id={batch_id - 1}") if batch_id
+                      else s.createDataFrame([], "symbol string, n long"))
+            now = before.unionByName(panes.select("symbol", F.col("_rows").alias("n"))).groupBy("symbol").agg(F.sum("n").alias("n"))
+            now.write.mode("overwrite").parquet(f"{path}/_released/batch_id={batch_id}")
+            earlier = Window.partitionBy("symbol").orderBy("_pane").rowsBetween(Window.unboundedPreceding, -1)
+            first = (panes.withColumn("_earlier", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+                     .join(before.withColumnRenamed("symbol", "_s"), F.col("symbol").eqNullSafe(F.col("_s")), "left")
+                     .select(F.col("symbol").alias("_s"), F.col("_pane").alias("_p"), (F.col("_earlier") + F.coalesce("n", F.lit(0))).alias("_first")))
+            place = F.row_number().over(Window.partitionBy("symbol", "_pane").orderBy("ts", "seq"))
+            out = rows.withColumn("_place", place).join(first, F.col("symbol").eqNullSafe(F.col("_s")) & (F.col("_pane") == F.col("_p")))
+            (out.select("symbol", (F.col("_first") + F.col("_place")).alias("n"), "ts", "seq", "price", "qty")
+             .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+        finally:
+            rows.unpersist()
     with rocksdb(spark):
-        return _written(ordered, path, checkpoint, "append", trigger)
+        return run(held.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).outputMode("append"), trigger)
 
 
 # ---------------------------------------------------------------- windows
