@@ -60,3 +60,32 @@ def test_a_hot_symbols_rows_are_held_in_many_tasks(spark, tmp_root):
     write(400, 700)
     got = spark.read.schema(st.RELEASED).parquet(f"{tmp_root}/out/batch_id=*").orderBy("n").collect()
     assert [(r["n"], r["seq"], r["price"]) for r in got] == [(i + 1, i, float(i)) for i in range(520)]  # numbers go on over panes and runs
+
+
+def test_many_keys_share_a_call(spark, tmp_root):
+    def go(low, high):
+        rows = spark.range(low, high).selectExpr("IF(id = 7, NULL, id % 2000) AS k", "timestamp_millis(1700000000000 + (id div 2000) * 9000) AS event_time",
+                                                 "CASE WHEN id = 5 THEN CAST('NaN' AS double) WHEN id = 6 THEN NULL ELSE 0.5D END AS x")
+        rows.write.mode("append").parquet(f"{tmp_root}/in")
+        stream = spark.readStream.schema("k long, event_time timestamp, x double").parquet(f"{tmp_root}/in").withWatermark("event_time", "1 second")
+        return st.stream_sessions_by_panes(stream, ["k"], "event_time", f"{tmp_root}/out", f"{tmp_root}/ckpt", "10 seconds", sum_cols=("x",))
+    go(0, 2000)
+    q = go(2000, 6000)
+    timers = [int(o["customMetrics"]["numRegisteredTimers"]) for p in q.recentProgress for o in p["stateOperators"] if "numRegisteredTimers" in o["customMetrics"]]
+    assert timers and max(timers) <= 256  # not one a key
+    go(2_000_000, 2_000_001)
+    got = {r["k"]: (r["event_count"], repr(r["x"])) for r in spark.read.parquet(f"{tmp_root}/out/batch_id=*").collect()}
+    assert len(got) == 2001 and got[None] == (1, "0.5") and got[7] == (2, "1.0")
+    assert got[5] == (3, "nan") and got[6] == (3, "1.0") and got[1999] == (3, "1.5")
+
+
+def test_keys_of_any_type_come_back_as_they_were(spark, tmp_root):
+    rows = """(1700000000000000, 'é"\\n', CAST('NaN' AS double), X'00ff', DATE'2024-02-29', TIMESTAMP'2024-01-01 00:00:00.000001', 1.50BD, array(1, NULL)),
+              (1700000000000001, '', -1e300D, X'', NULL, NULL, NULL, NULL), (1700000000000002, NULL, NULL, NULL, DATE'0001-01-01', TIMESTAMP'1900-01-01 00:00:00', -1.5BD, array()),
+              (1800000000000000, 'end', 0D, X'00', NULL, NULL, NULL, NULL)"""
+    df = spark.sql(f"SELECT timestamp_micros(at) AS event_time, s, d, b, day, t, n, a FROM VALUES {rows} AS v(at, s, d, b, day, t, n, a)")
+    df.write.parquet(f"{tmp_root}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp_root}/in").withWatermark("event_time", "1 second")
+    st.stream_sessions_by_panes(stream, ["s", "d", "b", "day", "t", "n", "a"], "event_time", f"{tmp_root}/out", f"{tmp_root}/ckpt", "10 seconds")
+    got = spark.read.parquet(f"{tmp_root}/out/batch_id=*").select("s", "d", "b", "day", "t", "n", "a")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, df.where("s IS DISTINCT FROM 'end'").drop("event_time").collect()))

@@ -9,7 +9,8 @@
 * Sliding windows by panes: a first aggregate per slide, a second one over panes,
   so a row is never copied into its windows.
 * Sessions by panes: a first aggregate per (key, pane one gap wide), then one state
-  per key that joins neighbouring panes, so a hot key's rows meet in no single task.
+  per bucket of keys that joins a key's neighbouring panes, so a hot key's rows meet
+  in no single task and many small keys cost no call each.
 * A keyed raw table: a key seen within the watermark's delay is not written again.
 * Row counts observed while a query runs, without another scan.
 
@@ -26,7 +27,7 @@ from contextlib import contextmanager
 from decimal import Context, localcontext
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -192,48 +193,87 @@ def stream_sliding(trades: DataFrame, path: str, checkpoint: str, size: str = "2
 
 
 # ---------------------------------------------------------------- sessions by panes
+_EXACT_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def _part_type(column: str) -> str:
     return WIDE if column.endswith("_dec") else "double" if column.endswith("_dbl") else "long"
 
 
 class SessionsOfPanes(StatefulProcessor):
-    """Joins a key's closed panes to sessions; the last session stays open until the pane after its last one has closed too."""
+    """Joins the closed panes of a bucket's keys to sessions; a key's last session stays open until the pane after its last one has closed too.
+
+    The state has the bucket's open sessions, a timer stands at the first time one of
+    them closes.  Sums of doubles are text here and in the state, as pandas takes NaN for NULL.
+    """
 
-    def __init__(self, gap_us: int, keys: list[str], parts: list[str]):
-        self.gap_us, self.held, self.columns = gap_us, ["_lo", "_hi", "event_count", *parts], [*keys, "_lo", "_hi", "event_count", *parts]
+    def __init__(self, gap_us: int, parts: list[str]):
+        self.gap_us, self.columns = gap_us, ["text_key", "lo", "hi", "event_count", *parts]  # pandas renames columns that begin with _
+        self.texts = [c.endswith("_dbl") for c in self.columns]
+        self.schema = ", ".join(f"`{c}` {'string' if c == 'text_key' or text else _part_type(c)}" for c, text in zip(self.columns, self.texts))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", ", ".join(f"`{c}` {_part_type(c)}" for c in self.held))
+        self.open = handle.getListState("open", self.schema)
 
     def _due(self, session: tuple) -> int:
         """Two rows of one session lie in the same or in neighbouring panes: past the next pane's end nothing can join."""
-        return -(-(session[1] // self.gap_us + 2) * self.gap_us // 1000)
-
-    def _row(self, key, session) -> Row:
-        return Row(*self.columns)(*key, *session)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        current = tuple(self.open.get()) if self.open.exists() else None
-        if current:
-            self.handle.deleteTimer(self._due(current))
-        for pane in sorted((tuple(r[c] for c in self.held) for r in rows), key=lambda p: p[0]):
-            if current and pane[0] - current[1] <= self.gap_us:
-                with localcontext(Context(prec=38)):
-                    added = [b if a is None else a if b is None else a + b for a, b in zip(current[2:], pane[2:])]
-                current = (current[0], pane[1], *added)
+        return -(-(session[2] // self.gap_us + 2) * self.gap_us // 1000)
+
+    def _sums(self, a: tuple, b: tuple) -> list:
+        return [y if x is None else x if y is None else repr(float(x) + float(y)) if text else x + y
+                for x, y, text in zip(a[3:], b[3:], self.texts[3:])]
+
+    def _sessions(self, panes: list[tuple]) -> Iterator[tuple]:
+        """The sessions of one key, in order of time."""
+        current = None
+        for pane in sorted(panes, key=lambda p: p[1]):
+            if current and pane[1] - current[2] <= self.gap_us:
+                current = (*current[:2], pane[2], *self._sums(current, pane))
             else:
                 if current:
-                    yield self._row(key, current)
+                    yield current
                 current = pane
-        self.open.update(current)
-        self.handle.registerTimer(self._due(current))
+        yield current
+
+    def _held(self) -> list[tuple]:
+        return [tuple(r) for r in self.open.get()] if self.open.exists() else []
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.open.exists():
-            yield self._row(key, self.open.get())
+    def _keep(self, sessions: list[tuple]) -> None:
+        if sessions:
+            self.open.put(sessions)
+            self.handle.registerTimer(min(map(self._due, sessions)))
+        else:
             self.open.clear()
 
+    def _out(self, sessions: list[tuple]) -> Iterator[pd.DataFrame]:
+        if sessions:
+            yield pd.DataFrame(sessions, columns=self.columns)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        panes, done, still, passed = {}, [], [], timerValues.getCurrentWatermarkInMs()
+        held = self._held()
+        if held:
+            self.handle.deleteTimer(min(map(self._due, held)))
+        for part in rows:
+            columns = [part[c].astype(object).where(part[c].notna(), None) if c in self.columns[4:] else part[c] for c in self.columns]
+            for pane in zip(*(c.tolist() for c in columns)):
+                panes.setdefault(pane[0], []).append(pane)
+        for session in held:
+            panes.setdefault(session[0], []).append(session)
+        with localcontext(Context(prec=38)):
+            for own in panes.values():
+                *closed, last = self._sessions(own)
+                done += closed
+                (done if self._due(last) <= passed else still).append(last)
+        self._keep(still)
+        yield from self._out(done)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held, passed = self._held(), timerValues.getCurrentWatermarkInMs()
+        self._keep([s for s in held if self._due(s) > passed])
+        yield from self._out([s for s in held if self._due(s) <= passed])
+
     def close(self) -> None:
         pass
 
@@ -248,24 +288,32 @@ def session_panes(events: DataFrame, keys: list[str], time_col: str, gap: str, s
 
 
 def stream_sessions_by_panes(events: DataFrame, keys: list[str], time_col: str, path: str, checkpoint: str, gap: str = "5 minutes",
-                             trigger: str | None = None, sum_cols: tuple[str, ...] = ()):
+                             trigger: str | None = None, sum_cols: tuple[str, ...] = (), buckets: int = 256):
     """Sessions of a watermarked stream, under ``path/batch_id=N``: keys, session_start, session_end, event_count, sums.
 
     The same sessions as ``stream_sessions``; rows exactly one gap apart stay
     together.  A session is written once the watermark has passed the end of the
     pane after its last one, at most two gaps after its last row.  The rows are reduced
-    by (key, pane) before and after the shuffle; the state of a key takes
-    one row for each pane.  NULL keys are a key, rows without a time are left out.
+    by (key, pane) before and after the shuffle; the keys are dealt over ``buckets``
+    states, each of which takes one row for each pane of its keys and holds their open
+    sessions, so many small keys cost no call each.  NULL keys are a key, rows without
+    a time are left out.
     """
     spark = events.sparkSession
     gap_us = interval_micros(gap)
     panes = session_panes(events, keys, time_col, gap, sum_cols)
-    processor = SessionsOfPanes(gap_us, keys, [p for c in sum_cols for p in part_names(c)])
-    schema = ", ".join([*[f"`{k}` {panes.schema[k].dataType.simpleString()}" for k in keys], *[f"`{c}` {_part_type(c)}" for c in processor.held]])
-    found = panes.groupBy(*keys).transformWithState(processor, schema, "Append", "EventTime")
-    out = found.select(*keys, to_ntz(F.timestamp_micros("_lo")).alias("session_start"),
-                       to_ntz(F.timestamp_micros(F.col("_hi") + gap_us)).alias("session_end"), "event_count",
-                       *[finish_sum(c).alias(c) for c in sum_cols])
+    parts = {p: q for i, c in enumerate(sum_cols) for p, q in zip(part_names(c), part_names(f"sum{i}"))}
+    processor = SessionsOfPanes(gap_us, [*parts.values()])
+    as_text = {"timestampFormat": _EXACT_TIME + "XXX", "timestampNTZFormat": _EXACT_TIME}  # of any type, equal for equal keys
+    dealt = panes.select(F.pmod(F.hash(*keys), F.lit(buckets)).alias("bucket"), "_pane_time", F.to_json(F.struct(*keys), as_text).alias("text_key"),
+                         F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), "event_count",
+                         *[(F.col(p).cast("string") if q.endswith("_dbl") else F.col(p)).alias(q) for p, q in parts.items()])
+    found = (dealt.groupBy("bucket").transformWithStateInPandas(processor, processor.schema, "Append", "EventTime")
+             .withColumn("key", F.from_json("text_key", panes.select(*keys).schema, as_text))
+             .withColumns({q: F.col(q).cast("double") for q in parts.values() if q.endswith("_dbl")}))
+    out = found.select(*[F.col("key").getField(k).alias(k) for k in keys], to_ntz(F.timestamp_micros("lo")).alias("session_start"),
+                       to_ntz(F.timestamp_micros(F.col("hi") + gap_us)).alias("session_end"), "event_count",
+                       *[finish_sum(f"sum{i}").alias(c) for i, c in enumerate(sum_cols)])
     with rocksdb(spark):
         return _written(out, path, checkpoint, "append", trigger)
 
